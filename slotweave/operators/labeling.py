@@ -14,6 +14,7 @@ from slotweave.functions.attributes import attribute_list
 from slotweave.functions.spans import entity_line, mark_entity, padded, span_line, tag_line
 from slotweave.functions.text import clean_text, contains_brand, split_line, token_line
 from slotweave.operators.columns import ERROR, normalize_columns
+from slotweave.operators.fence import fence
 
 OUTPUT_COLUMNS = (
     "query", "brand", "attributes", "product_type", "tokens", "bioes_tags",
@@ -106,4 +107,5 @@ def label_queries(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     Rows with an ``error`` are kept with empty token and tag arrays.
     """
     cleaned = _clean_inputs(normalize_columns(df, keep), keep)
-    return _results(_tag_rest(_tag_brands(_token_lines(cleaned))), keep)
+    results = _results(_tag_rest(_tag_brands(_token_lines(cleaned))), keep)
+    return fence(results, *OUTPUT_COLUMNS)
