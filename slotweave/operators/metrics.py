@@ -67,15 +67,26 @@ def entity_scores(true: Column, pred: Column, name: str) -> list[Column]:
     ]
 
 
-def slot_metrics(df: DataFrame) -> DataFrame:
-    """The seven scores of a leaderboard run, as one row."""
+METRIC_NAMES = (
+    "top1_accuracy", "brand_precision", "brand_recall", "attribute_precision", "attribute_recall",
+    "product_type_precision", "product_type_recall",
+)
+
+
+def slot_scores(df: DataFrame) -> list[Column]:
+    """The seven scores of a leaderboard run, in the order of ``METRIC_NAMES``."""
     (brand, product_type), attributes = SINGLE_SLOTS, LIST_SLOT
-    return df.agg(
+    return [
         top1_accuracy(df),
         *single_slot_scores(df, *brand),
         *list_slot_scores(df, *attributes),
         *single_slot_scores(df, *product_type),
-    )
+    ]
+
+
+def slot_metrics(df: DataFrame) -> DataFrame:
+    """The seven scores as one row."""
+    return df.agg(*slot_scores(df))
 
 
 def entity_metrics(df: DataFrame) -> DataFrame:
