@@ -30,9 +30,10 @@ _HOLLOW = rf"(?:\[{_GAP}(?:(?:null|NaN){_GAP})?+\]|\{{{_GAP}\}})"
 _ITEM = f"(?:{_SCALAR}|{_HOLLOW})"
 _PAIR = f"{_STRING}{_GAP}:{_GAP}{_ITEM}"
 
-JSON_SCALAR = rf"\A{_GAP}{_SCALAR}{_GAP}\z"
-JSON_LIST = rf"\A{_GAP}\[{_GAP}(?:{_ITEM}{_GAP}(?:,{_GAP}{_ITEM}{_GAP})*+)?+\]{_GAP}\z"
-JSON_OBJECT = rf"\A{_GAP}\{{{_GAP}(?:{_PAIR}{_GAP}(?:,{_GAP}{_PAIR}{_GAP})*+)?+\}}{_GAP}\z"
+_LIST = rf"\[{_GAP}(?:{_ITEM}{_GAP}(?:,{_GAP}{_ITEM}{_GAP})*+)?+\]"
+_OBJECT = rf"\{{{_GAP}(?:{_PAIR}{_GAP}(?:,{_GAP}{_PAIR}{_GAP})*+)?+\}}"
+JSON_LIST = rf"\A{_GAP}{_LIST}{_GAP}\z"
+FLAT_JSON = rf"\A{_GAP}(?:{_SCALAR}|{_LIST}|{_OBJECT}){_GAP}\z"
 
 _LIST_ITEM = f"(?:\\G{_GAP}\\[|,){_GAP}({_ITEM})"
 _OBJECT_PAIR = f"({_STRING}){_GAP}:{_GAP}({_ITEM})"
@@ -95,27 +96,35 @@ def _item_text(item: Column) -> Column:
 
 
 def _list_items(text: Column) -> Column:
-    """Item texts of a JSON list that fits ``JSON_LIST``."""
-    return F.transform(F.regexp_extract_all(text, F.lit(_LIST_ITEM), F.lit(1)), _item_text)
+    """Items of a flat JSON list, as they are written."""
+    return F.regexp_extract_all(text, F.lit(_LIST_ITEM), F.lit(1))
 
 
 def _object_values(text: Column) -> Column:
-    """Value texts of a JSON object that fits ``JSON_OBJECT``, by first use of the key, last value."""
+    """Values of a flat JSON object, as they are written, by first use of the key, last value."""
     keys = F.transform(F.regexp_extract_all(text, F.lit(_OBJECT_PAIR), F.lit(1)), _string_value)
-    values = F.transform(F.regexp_extract_all(text, F.lit(_OBJECT_PAIR), F.lit(2)), _item_text)
+    values = F.regexp_extract_all(text, F.lit(_OBJECT_PAIR), F.lit(2))
     pairs = F.struct(keys.alias("keys"), values.alias("values"), F.reverse(keys).alias("backward"))
 
     def last_values(p: Column) -> Column:
-        size = F.size(p["keys"])
-        latest = F.transform(
+        return F.transform(
             F.array_distinct(p["keys"]),
-            lambda key: F.get(p["values"], size - F.array_position(p["backward"], key)),
+            lambda key: F.get(p["values"], F.size(p["keys"]) - F.array_position(p["backward"], key)),
         )
-        return F.when(F.size(F.array_distinct(p["keys"])) == size, p["values"]).otherwise(latest)
 
     return let(pairs, last_values)
 
 
+def _json_items(text: Column) -> Column:
+    """Item texts of flat JSON: of a list or the values of an object; a scalar has none."""
+    written = (
+        F.when(F.rlike(text, F.lit(rf"\A{_GAP}\[")), _list_items(text))
+        .when(F.rlike(text, F.lit(rf"\A{_GAP}\{{")), _object_values(text))
+        .otherwise(_nothing())
+    )
+    return F.transform(written, _item_text)
+
+
 def _loose_items(text: Column) -> Column:
     """Items of the first loose pattern that matches at all."""
     found = [F.regexp_extract_all(text, F.lit(pattern), F.lit(1)) for pattern in LOOSE_PATTERNS]
@@ -129,16 +138,11 @@ def _loose_items(text: Column) -> Column:
 def attribute_items(text: Column) -> Column:
     """Raw item texts of an attribute text, before cleaning; missing items are NULL."""
     requoted = F.replace(text, F.lit("'"), F.lit('"'))
-    has_quotes = F.contains(text, F.lit("'"))
-    return (
-        F.when(text.isNull() | text.isin(*EMPTY_TEXTS) | F.rlike(text, F.lit(JSON_SCALAR)), _nothing())
-        .when(F.rlike(text, F.lit(JSON_LIST)), _list_items(text))
-        .when(F.rlike(text, F.lit(JSON_OBJECT)), _object_values(text))
-        .when(has_quotes & F.rlike(requoted, F.lit(JSON_SCALAR)), _nothing())
-        .when(has_quotes & F.rlike(requoted, F.lit(JSON_LIST)), _list_items(requoted))
-        .when(has_quotes & F.rlike(requoted, F.lit(JSON_OBJECT)), _object_values(requoted))
-        .otherwise(_loose_items(text))
+    json = F.when(F.rlike(text, F.lit(FLAT_JSON)), text).when(
+        F.contains(text, F.lit("'")) & F.rlike(requoted, F.lit(FLAT_JSON)), requoted
     )
+    items = let(json, lambda z: F.when(z.isNotNull(), _json_items(z)).otherwise(_loose_items(text)))
+    return F.when(text.isNull() | text.isin(*EMPTY_TEXTS), _nothing()).otherwise(items)
 
 
 def _cleaned(items: Column) -> Column:
@@ -181,7 +185,8 @@ def _variant_items(value: Column) -> Column:
     """Row by row: text is parsed, a list is cleaned item by item, anything else is empty."""
     kind = F.schema_of_variant(value)
     text = value.cast("string")
-    listed = F.when(F.rlike(text, F.lit(JSON_LIST)), _list_items(text)).otherwise(_nothing())
+    items = F.transform(_list_items(text), _item_text)
+    listed = F.when(F.rlike(text, F.lit(JSON_LIST)), items).otherwise(_nothing())
     return (
         F.when(kind == "STRING", parse_attributes(text))
         .when(F.startswith(kind, F.lit("ARRAY")), clean_attribute_list(listed))

@@ -23,13 +23,14 @@ from slotweave.plans.evaluate_job import predict_slots
 from slotweave.plans.label_job import job_counters, label_table
 from slotweave.plans.query_log import query_log
 from slotweave.plans.scratch import scratch_path
+from slotweave.plans.spread import read_spread
 from slotweave.plans.train_job import validation_report
 from slotweave.sources import readers, writers
 from slotweave.streaming.label_stream import label_stream, query_stream
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return read_spread(spark, f"{folder}/{name}.parquet")
 
 
 def _log(spark: SparkSession, folder: str) -> DataFrame:
