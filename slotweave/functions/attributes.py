@@ -56,7 +56,7 @@ def number_text(value: Column) -> Column:
     """Shortest decimal text of a double: ``1000.0``, ``1e+16``, ``1e-05``, ``inf``.
 
     The JVM writes exponents from 1e7 on and below 1e-3; they are spelled out up to 1e16
-    and down to 1e-4.
+    and down to 1e-4. JVMs before version 19 write a few doubles with needless digits.
     """
     text = value.cast("string")
     sign = F.when(F.startswith(text, F.lit("-")), "-").otherwise("")
