@@ -15,9 +15,8 @@ from slotweave.plans.queries import QUERIES  # noqa: E402
 
 HEADLINES = (
     "tag_distribution", "B1_clean_documents", "B2_tokenize_conversations", "B3_parse_attribute_mix",
-    "B3b_parse_event_objects", "B3d_parse_loose_documents", "C1_exact_span", "C6_label_query_log",
-    "C6_label_documents", "D1_decode_entities", "D2_slot_projection", "E5_metric_pack", "E6_report_tags",
-    "F1_split_rows", "F3_align_labels",
+    "B3b_parse_event_objects", "B3d_parse_loose_documents", "C6_label_query_log", "C6_label_documents",
+    "D1_decode_entities", "E5_metric_pack",
 )
 RUNS = 2
 
