@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotweave.llm import quality_model
+from slotweave.llm import quality_model, toxicity_model
 from slotweave.llm.labelled import remainder
 
 
@@ -23,7 +23,18 @@ def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document; learned from the labels whose remainder by 4 is not 2."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity_model.fit(docs, _table(spark, folder, "labels"))
+    return toxicity_model.score(docs, model).select(
+        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
+    "op5_toxicity": op5_toxicity,
     "op8_quality_classifier": op8_quality_classifier,
 }
 ORACLES: dict[str, str] = {}
