@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotweave.llm import quality_model, toxicity_model
+from slotweave.llm import quality_model, toxicity_model, weak_supervision
 from slotweave.llm.labelled import remainder
+from slotweave.llm.shared import written
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +24,16 @@ def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts, the hard rules and the verdict of the voting rules for every document."""
+    table = written(weak_supervision.rule_table(_table(spark, folder, "documents")), "op3")
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return weak_supervision.judge(table).select(
+        "doc_id", *weak_supervision.COUNTS, failed.alias("base_failed"),
+        (~failed & (F.col("posterior") >= 0.5)).alias("kept"), "posterior",
+    )
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document; learned from the labels whose remainder by 4 is not 2."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
@@ -34,6 +45,7 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_quality_rules": op3_quality_rules,
     "op5_toxicity": op5_toxicity,
     "op8_quality_classifier": op8_quality_classifier,
 }
