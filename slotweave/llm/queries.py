@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotweave.llm import quality_model, toxicity_model, weak_supervision
+from slotweave.llm import near_duplicates, quality_model, toxicity_model, weak_supervision
 from slotweave.llm.labelled import remainder
 from slotweave.llm.shared import written
 
@@ -14,6 +14,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The class of near copies of every document; ``stays`` marks the one of each class to keep."""
+    return near_duplicates.classes(_table(spark, folder, "documents")).select("doc_id", "class_id", "stays")
+
+
 def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document; learned from the labels whose remainder by 3 is not 1."""
     docs = _table(spark, folder, "documents").select("doc_id", "text", "n_chars")
@@ -47,6 +52,7 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op5_toxicity": op5_toxicity,
+    "op6_near_duplicates": op6_near_duplicates,
     "op8_quality_classifier": op8_quality_classifier,
 }
 ORACLES: dict[str, str] = {}

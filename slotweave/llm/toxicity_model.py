@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 from slotweave.llm.labelled import append_column, first_by_hash, remainder, usable_labels
 from slotweave.llm.words import LOWER_WORDS, find_words, hash_spans, slices, text_bytes
 
-POSITIVE_ROWS = 4_000
-UNLABELLED_ROWS = 8_000
+POSITIVE_ROWS = 3_000
+UNLABELLED_ROWS = 5_000
 PREFIXES = (4, 5, 6, 7, 8)
 LEAST_TEXTS = 4
 LEAST_SHARE = 0.8
@@ -99,12 +99,14 @@ def train(row: np.ndarray, key: np.ndarray, positive: np.ndarray, prior: float,
     n_positive, n_rest = int(positive.sum()), int((~positive).sum())
     if not n_positive or not n_rest:
         return Model(np.zeros(0, np.uint64), np.zeros(0), base)
-    keys, column = np.unique(key, return_inverse=True)
-    within = np.bincount(column[positive[row]], minlength=len(keys))
+    keys, within = np.unique(key[positive[row]], return_counts=True)
+    keys, within = keys[within >= LEAST_TEXTS], within[within >= LEAST_TEXTS]
+    column = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+    known = np.flatnonzero(keys[column] == key) if len(keys) else np.zeros(0, np.int64)
+    row, column = row[known], column[known]
     outside = np.bincount(column[~positive[row]], minlength=len(keys))
-    use = (within >= LEAST_TEXTS) & (prior * within / n_positive >= LEAST_SHARE * (outside + 1) / n_rest)
-    number = np.cumsum(use) - 1
-    kept = use[column]
+    use = prior * within / n_positive >= LEAST_SHARE * (outside + 1) / n_rest
+    number, kept = np.cumsum(use) - 1, use[column]
     row, column, keys = row[kept], number[column[kept]], keys[use]
     p_share, u_share = np.where(positive, prior / n_positive, 0), np.where(positive, 0, 1 / n_rest)
     weight, bias, mean, square = np.zeros(len(keys)), base, np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
@@ -156,7 +158,6 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4
     if not got.num_rows:
         return train(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool), prior)
     lists = got.column("keys").combine_chunks()
-    lists = pa.concat_arrays([lists.chunk(k) for k in range(lists.num_chunks)]) if isinstance(lists, pa.ChunkedArray) else lists
     lengths = np.diff(lists.offsets.to_numpy())
     return train(np.repeat(np.arange(len(lists)), lengths), lists.flatten().to_numpy().view(np.uint64),
                  got.column("positive").to_numpy(), prior)
