@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotweave.llm import near_duplicates, quality_model, toxicity_model, weak_supervision
+from slotweave.llm import near_duplicates, packing, quality_model, toxicity_model, weak_supervision
 from slotweave.llm.labelled import remainder
 from slotweave.llm.shared import written
 
@@ -49,10 +50,16 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 2048 ids."""
+    return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op5_toxicity": op5_toxicity,
     "op6_near_duplicates": op6_near_duplicates,
     "op8_quality_classifier": op8_quality_classifier,
+    "op10_packing": op10_packing,
 }
 ORACLES: dict[str, str] = {}
