@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotweave.llm import near_duplicates, packing, quality_model, toxicity_model, weak_supervision
+from slotweave.llm import near_duplicates, packing, pii, quality_model, toxicity_model, weak_supervision
 from slotweave.llm.labelled import remainder
 from slotweave.llm.shared import written
 
@@ -40,6 +40,16 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of personal data in every document; the counts and ``base_sha256`` are of the undisguised ones."""
+    def joined(spans: str) -> Column:
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)))
+
+    counts = [F.size(F.filter("base", lambda s, k=kind: s.kind == k)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return pii.detect(_table(spark, folder, "documents")).select(
+        "doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("found").alias("spans"))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document; learned from the labels whose remainder by 4 is not 2."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
@@ -57,6 +67,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
+    "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
     "op6_near_duplicates": op6_near_duplicates,
     "op8_quality_classifier": op8_quality_classifier,
