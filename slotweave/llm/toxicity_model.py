@@ -93,7 +93,8 @@ def train(row: np.ndarray, key: np.ndarray, positive: np.ndarray, prior: float,
 
     Candidate features stand in at least ``LEAST_TEXTS`` positives, and by their frequencies at least ``LEAST_SHARE``
     of the texts that have one should be toxic (prior times the rate in positives over the rate in unlabelled text).
-    Without positives, or without unlabelled texts, the score is the prior.
+    The bias stays at or below the prior: a text without features is no likelier toxic than any text. Without positives,
+    or without unlabelled texts, the score is the prior.
     """
     base = float(np.log((prior + 1e-4) / (1 - prior + 1e-4)))
     n_positive, n_rest = int(positive.sum()), int((~positive).sum())
@@ -122,7 +123,7 @@ def train(row: np.ndarray, key: np.ndarray, positive: np.ndarray, prior: float,
         move = size * mean / (1 - 0.9**step)
         weight -= move[:-1]
         weight = np.sign(weight) * np.maximum(np.abs(weight) - size[:-1] * sparsity, 0)
-        bias -= float(move[-1])
+        bias = min(bias - float(move[-1]), base)
     kept = weight != 0
     return Model(keys[kept], weight[kept], float(bias))
 
