@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotweave.llm import near_duplicates, packing, pii, quality_model, toxicity_model, weak_supervision
+from slotweave.llm import license_scan, near_duplicates, packing, pii, quality_model, toxicity_model, weak_supervision
 from slotweave.llm.labelled import remainder
 from slotweave.llm.shared import written
 
@@ -30,6 +30,11 @@ def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    return license_scan.summary(license_scan.scan(_table(spark, folder, "documents")))
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts, the hard rules and the verdict of the voting rules for every document."""
     table = written(weak_supervision.rule_table(_table(spark, folder, "documents")), "op3")
@@ -66,6 +71,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
