@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotweave.llm import license_scan, near_duplicates, packing, pii, quality_model, toxicity_model, weak_supervision
+from slotweave.llm import fingerprints, license_scan, near_duplicates, packing, pii, quality_model, toxicity_model, weak_supervision
 from slotweave.llm.labelled import remainder
 from slotweave.llm.shared import written
 
@@ -35,6 +35,21 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.summary(license_scan.scan(_table(spark, folder, "documents")))
 
 
+def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Merkle fingerprints of every document and its edited text, and how near they and the next document's are."""
+    rows = fingerprints.with_tree(
+        fingerprints.edited_by_next(_table(spark, folder, "documents")), "edited", "edited_tree")
+    for tree in ("tree", "edited_tree", "next_tree"):
+        rows = fingerprints.with_nodes(rows, tree, f"{tree}_nodes")
+    return rows.select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.rendered("tree").alias("fingerprint"), fingerprints.rendered("edited_tree").alias("edited_fingerprint"),
+        fingerprints.likeness("tree", "tree_nodes", "edited_tree", "edited_tree_nodes").alias("near_edited"),
+        fingerprints.likeness("tree", "tree_nodes", "next_tree", "next_tree_nodes").alias("near_next"),
+        F.size(fingerprints.differing_paragraphs("tree", "edited_tree")).alias("n_differing"),
+    )
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts, the hard rules and the verdict of the voting rules for every document."""
     table = written(weak_supervision.rule_table(_table(spark, folder, "documents")), "op3")
@@ -72,6 +87,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_fingerprints": op2_fingerprints,
     "op3_quality_rules": op3_quality_rules,
     "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
