@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotweave.llm import fingerprints, license_scan, near_duplicates, packing, pii, quality_model, toxicity_model, weak_supervision
+from slotweave.llm import (
+    byte_bpe,
+    fingerprints,
+    license_scan,
+    near_duplicates,
+    packing,
+    pii,
+    quality_model,
+    quotations,
+    toxicity_model,
+    weak_supervision,
+)
 from slotweave.llm.labelled import remainder
 from slotweave.llm.shared import written
 
@@ -20,6 +31,11 @@ def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.classes(_table(spark, folder, "documents")).select("doc_id", "class_id", "stays")
 
 
+def op7_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    """All messages in reply order's terms, without quotes."""
+    return quotations.conversations(_table(spark, folder, "conversations"))
+
+
 def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document; learned from the labels whose remainder by 3 is not 1."""
     docs = _table(spark, folder, "documents").select("doc_id", "text", "n_chars")
@@ -80,6 +96,12 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Number of ids of every document, and digests of the ids and of what they decode to."""
+    return byte_bpe.round_trip(
+        _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 2048 ids."""
     return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -92,7 +114,9 @@ QUERIES = {
     "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_quotation_linking": op7_quotation_linking,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_byte_bpe": op9_byte_bpe,
     "op10_packing": op10_packing,
 }
 ORACLES: dict[str, str] = {}
