@@ -19,10 +19,10 @@ def decode_slots(df: DataFrame, tokens: str = "tokens", tags: str = "bioes_tags"
     return fence(slots, *SLOT_COLUMNS)
 
 
-def leaderboard(df: DataFrame) -> DataFrame:
+def leaderboard(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Submission table: predicted slots under their plain names, attributes joined by ``|``."""
     return df.select(
-        "query",
+        *keep, "query",
         F.col("brand_pred").alias("brand"),
         "attributes_pred",
         F.col("product_type_pred").alias("product_type"),

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotweave.functions.spans import TAGS
 from slotweave.operators.metrics import IGNORED_LABEL
 
 MAX_LENGTH = 128
@@ -28,12 +29,19 @@ def train_validation_split(
     return df.where(~validation), df.where(validation)
 
 
+def closed_vocabulary(spark: SparkSession) -> DataFrame:
+    """``tag``, ``tag_id`` of the labeller's 13 tags in sorted order, numbered from 0; no data is read."""
+    return spark.createDataFrame(list(zip(sorted(TAGS), range(len(TAGS)))), "tag string, tag_id int")
+
+
 def tag_vocabulary(df: DataFrame, tags: str = "bioes_tags") -> DataFrame:
-    """``tag``, ``tag_id``: distinct tags in sorted order, numbered from 0.
+    """``tag``, ``tag_id``: the tags that occur, in sorted order, numbered from 0; an unknown tag is an error.
 
     The tags of the labeller form a closed set of 13, whatever the size of the input.
     """
-    distinct = df.select(F.explode(tags).alias("tag")).distinct()
+    tag = F.col("tag")
+    checked = F.when(tag.isin(*TAGS), tag).otherwise(F.raise_error(F.concat(F.lit("unknown tag "), tag)))
+    distinct = df.select(F.explode(tags).alias("tag")).select(checked.alias("tag")).distinct()
     ordered = distinct.agg(F.array_sort(F.collect_set("tag")).alias("tags"))
     return ordered.select(F.posexplode("tags").alias("tag_id", "tag")).select("tag", "tag_id")
 

@@ -191,12 +191,14 @@ mid as materialized (select doc_id, list_transform(tok, lambda w: lower(w)) as l
 
 _MALFORMED_TAGS = (
     "['O', 'B-Brand', 'I-Brand', 'E-Brand', 'S-Brand', 'B-Attribute', 'I-Attribute', 'E-Attribute', "
-    "'S-Attribute', 'B-ProductType', 'E-ProductType']"
+    "'S-Attribute', 'B-ProductType', 'I-ProductType', 'E-ProductType', 'S-ProductType']"
 )
+# The 13 tags in sorted order.
+_SORTED_TAGS = f"list_sort({_MALFORMED_TAGS})"
 
 DECODED = f"""with toks as materialized (select conv_id, turn, {tokens(clean('text'))} as tok from conversations),
 cells as (select conv_id, turn, unnest(tok) as w, generate_subscripts(tok, 1) - 1 as k from toks),
-tagged as materialized (select *, {_MALFORMED_TAGS}[((length(w) * 7 + k * k + k) % 11) + 1] as g from cells),
+tagged as materialized (select *, {_MALFORMED_TAGS}[((length(w) * 7 + k * k + k) % 13) + 1] as g from cells),
 broken as materialized (select *, max(case when g = 'O' or g[1] in ('B', 'E') then k end) over
    (partition by conv_id, turn order by k rows between unbounded preceding and 1 preceding) as k0 from tagged),
 spans as (select e.conv_id, e.turn, e.k, b.k as k0, b.g[3:] as label from broken e join broken b
@@ -216,10 +218,15 @@ DOCUMENT_LABELS = labelled(
 
 _JSON_ATTRIBUTES = f"case when query_id % 2 = 0 then {cleaned_items('list_filter([brand, query], lambda v: v is not null)')} else {_LOG_ATTRIBUTES} end"
 
-_TRAIN_TAGS = f"{LABELLED}, train as (select distinct unnest(bioes_tags) as tag from res where {bucket(0, 'query')} >= 20)"
-_IDS = f"""{LABELLED}, tags as (select distinct unnest(bioes_tags) as tag from res),
-voc as (select list(tag order by tag) as names from tags),
-ids as materialized (select query_id, tokens, bioes_tags, list_transform(bioes_tags, lambda g: list_position(names, g) - 1) as ids, names from res, voc)"""
+_TRAIN_TAGS = (
+    f"{LABELLED}, train as (select distinct unnest(bioes_tags) as tag from res join src on res.query_id = src.query_id "
+    f"where {bucket(0, 'src.query')} >= 20)"
+)
+_IDS = f"list_transform(bioes_tags, lambda g: list_position({_SORTED_TAGS}, g) - 1)"
+_UNSEEN = (
+    f"{LABELLED}, unseen as (select res.query_id, res.query, bioes_tags from res join src on res.query_id = src.query_id "
+    f"where {bucket(0, 'src.query')} < 20)"
+)
 
 ORACLES = {
     "tag_distribution": f"{LABELLED} select tag, count(*) as n_tokens from (select unnest(bioes_tags) as tag from res) group by tag",
@@ -230,14 +237,14 @@ ORACLES = {
     "A4_missing_texts": "select p_partkey, ['nil', 'none', '0'][p_partkey % 22 - 18] as cell from part where p_partkey % 22 >= 19 "
                         "union all select p_partkey, null from part where p_partkey % 22 < 19",
     "A5_stream_labelling": f"{LABELLED} select query_id, {joined('tokens', ' ')} as tokens, {joined('bioes_tags', ' ')} as bioes_tags from res",
-    "A6_csv_sink": f"{LABELLED} select {FLAT}, count(*) as n_rows from res group by all",
-    "A7_json_sink": f"{LABELLED} select query, product_type, {joined('tokens', ' ')} as tokens, brand_added, count(*) as n_rows from res group by all",
+    "A6_csv_sink": f"{LABELLED} select query_id, cast(null as varchar) as error, {FLAT} from res",
+    "A7_json_sink": f"{LABELLED} select query_id, cast(null as varchar) as error, {FLAT} from res",
     "A8_read_list_literals": f"with t as (select conv_id, turn, {tokens(clean('text'))} as tok from conversations) "
                              f"select conv_id, turn, len(tok) as n_tokens, md5({joined('tok', ' ')}) as digest from t",
     "A9_metrics_sink": f"{SLOTS} select round(avg(case when coalesce(coalesce(brand, '') = brand_pred and product_type = product_type_pred and len(ts) = len(us) and len(ps) = len(us), false) then 1.0 else 0.0 end), 6) as top1_accuracy, "
                        f"{_single('brand', 'brand')}, {_LIST}, {_single('product_type', 'product_type')} from scored",
-    "A10_predictions_sink": f"{SLOTS} select query_id, brand, {joined('attributes')} as attributes, brand_pred, {joined('attributes_pred')} as attributes_pred from pred",
-    "A11_leaderboard_sink": f"{SLOTS} select query, brand_pred as brand, product_type_pred as product_type, {joined('attributes_pred')} as attributes, count(*) as n_rows from pred group by all",
+    "A10_predictions_sink": f"{SLOTS} select query_id, query, brand, product_type, {joined('attributes')} as attributes, brand_pred, {joined('attributes_pred')} as attributes_pred, product_type_pred from pred",
+    "A11_leaderboard_sink": f"{SLOTS} select query_id, query, brand_pred as brand, product_type_pred as product_type, {joined('attributes_pred')} as attributes, {joined('attributes_pred')} as attributes_pred from pred",
     "A13_checked_source": "select p_brand, count(*) as n_parts from part group by p_brand",
     "B1_clean_documents": f"select doc_id, {clean('text')} as cleaned from documents",
     "B2_tokenize_conversations": f"select conv_id, turn, {joined('l', ' ')} as tokens, len(l) as n_tokens from (select conv_id, turn, {tokens(clean('text'))} as l from conversations)",
@@ -282,17 +289,21 @@ select query_id, {joined('tags', ' ')} as tags from three""",
     "E5_metric_pack": f"{SLOTS} select {_TOP1}, {_single('brand', 'brand')}, {_LIST}, {_single('product_type', 'product_type')} from scored",
     "E5_entity_scores": f"{SLOTS} select {_entity_single('brand', 'brand')}, {_entity_single('product_type', 'product_type')}, {_entity('attribute', 'hits', 'len(ps)', 'len(ts)')} from scored",
     "E6_report_labels": report("with pairs as (select cast(quality as varchar) as t, cast(toxic as varchar) as p from labels)"),
-    "E6_report_tags": report(f"""{LABELLED}, bare as (select query_id, tok, low, p, list_transform(tok, lambda w: 'O') as tags from ready),
-{step('bare', 'alone', 'p', 'ProductType', 'p')},
-pairs as (select unnest(four.tags) as t, unnest(alone.tags) as p from four join alone on four.query_id = alone.query_id)"""),
+    "E6_report_tags": report(f"""{LABELLED}, bare as (select query_id, tok, low, p, b, found, list_transform(tok, lambda w: 'O') as tags from ready),
+{step('bare', 'branded', "case when found then b else '' end", 'Brand', 'b')},
+{step('branded', 'alone', 'p', 'ProductType', 'p')},
+pairs as (select unnest(res.bioes_tags) as t, unnest(alone.tags || res.bioes_tags[len(alone.tags) + 1 :]) as p from res join alone on res.query_id = alone.query_id)"""),
     "E7_drop_ignored": f"""{LABELLED}, kept as (select query_id, list_filter(list_transform(range(1, len(tokens) + 1), lambda k: case when k % 3 = 0 then null else concat(length(bioes_tags[k]), ':', length(tokens[k])) end), lambda s: s is not null) as l from res)
 select query_id, len(l) as n_pairs, {joined('l', ' ')} as pairs from kept""",
-    "E8_decode_ids": f"{_IDS} select query_id, {joined('list_transform(ids, lambda d, k: case when k <= 2 then d else -100 end)', ' ')} as tag_ids, {joined('bioes_tags[1:2]', ' ')} as tags from ids",
+    "E8_decode_ids": f"{LABELLED} select query_id, {joined(_IDS, ' ')} as tag_ids, {joined('bioes_tags', ' ')} as tags from res",
     "F1_split_rows": f"select lang, case when {bucket(7, 'doc_id')} < 20 then 'validation' else 'train' end as side, count(*) as n_rows from documents group by all",
     "F2_vocabulary": f"{_TRAIN_TAGS} select tag, cast(row_number() over (order by tag) - 1 as integer) as tag_id from train",
-    "F3_align_labels": f"""{_IDS}, labs as (select query_id, [-100] || flatten(list_transform(range(1, len(tokens) + 1), lambda k:
-   [ids[k]] || list_transform(range(cast(ceil(length(tokens[k]) / 4) as bigint) - 1), lambda z: -100))) || [-100] || list_transform(range(12), lambda z: -100) as l from ids)
-select query_id, {joined('l[1:12]', ' ')} as labels from labs""",
-    "G1_counters": f"""with t as (select len({tokens(clean("case when n_chars >= 200 then text else ' ' end"))}) as n from documents)
+    "F3_align_labels": f"""{DOCUMENT_LABELS}, ids as (select doc_id, tokens, {_IDS} as ids from res),
+labs as (select doc_id, [-100] || flatten(list_transform(range(1, len(tokens) + 1), lambda k:
+   [ids[k]] || list_transform(range(cast(ceil(length(tokens[k]) / 4) as bigint) - 1), lambda z: -100))) || [-100] as l from ids)
+select doc_id, {joined('(l || list_transform(range(128), lambda z: -100))[1:128]', ' ')} as labels, greatest(len(l) - 128, 0) as n_cut from labs""",
+    "F4_train_and_report": f"{_UNSEEN} select g as label, count(*) as support, true as found from (select unnest(bioes_tags) as g from unseen) group by g",
+    "F5_A12_tag_unseen": f"{_UNSEEN} select query_id, len({tokens('query')}) as n_tokens, len({tokens('query')}) as n_tags, true as all_known, true as same_after_loading from unseen",
+    "G1_counters": f"""with t as (select len({tokens(clean('text'))}) as n from documents union all select 0 from documents)
 select count(*) as rows_read, cast(0 as bigint) as errors, count(*) filter (n = 0) as rows_without_tokens, count(*) filter (n > 0) as rows_processed from t""",
 }

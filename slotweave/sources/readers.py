@@ -145,15 +145,18 @@ def parse_list_text(text: Column) -> Column:
     return F.from_json(escaped, "array<string>", options)
 
 
-def read_labelled(spark: SparkSession, path: str, fmt: str | None = None, **options) -> DataFrame:
-    """Labelled sequences as they were written, list columns as arrays again."""
+def read_labelled(spark: SparkSession, path: str, fmt: str | None = None, more: str = "", **options) -> DataFrame:
+    """Labelled sequences as they were written, list columns as arrays again.
+
+    ``more`` names further fields of JSON lines with their types, as in "query_id bigint".
+    """
     name = format_of(path, fmt)
     if name == "parquet":
         return spark.read.parquet(path)
     if name == "json":
         return spark.read.schema(
             "query string, brand string, attributes array<string>, product_type string, tokens array<string>, "
-            "bioes_tags array<string>, augmented_query string, brand_added boolean, error string"
+            "bioes_tags array<string>, augmented_query string, brand_added boolean, error string" + (more and f", {more}")
         ).json(path)
     df = read_csv(spark, path, **options)
     columns = []

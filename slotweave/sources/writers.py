@@ -46,6 +46,6 @@ def write_predictions(df: DataFrame, path: str, mode: str = "error") -> None:
     write_table(df, path, "csv", mode)
 
 
-def write_leaderboard(df: DataFrame, path: str, mode: str = "error") -> None:
-    """Write the submission table as CSV."""
-    write_table(leaderboard(df), path, "csv", mode)
+def write_leaderboard(df: DataFrame, path: str, mode: str = "error", keep: tuple[str, ...] = ()) -> None:
+    """Write the submission table as CSV, ``keep`` columns of ``df`` first."""
+    write_table(leaderboard(df, keep), path, "csv", mode)
