@@ -181,14 +181,26 @@ def _typed_items(items: Column, element: T.DataType) -> Column:
     raise TypeError(f"attributes: items of type {element.simpleString()} have no text form")
 
 
+def _variant_item(item: Column) -> Column:
+    """Text of one item of a VARIANT list; a nested list or object is its JSON text."""
+    kind, text = F.schema_of_variant(item), item.try_cast("string")
+    number = item.try_cast("double")
+    return (
+        F.when(F.is_variant_null(item), None)
+        .when(kind == "BOOLEAN", F.when(text == "true", "True"))
+        .when(F.startswith(kind, F.lit("DECIMAL")) | (kind == "DOUBLE"), F.when(number != 0, number_text(number)))
+        .when(kind == "BIGINT", F.when(text != "0", text))
+        .when(F.rlike(kind, F.lit("^(ARRAY|OBJECT)")), F.to_json(item))
+        .otherwise(text)
+    )
+
+
 def _variant_items(value: Column) -> Column:
     """Row by row: text is parsed, a list is cleaned item by item, anything else is empty."""
     kind = F.schema_of_variant(value)
-    text = value.cast("string")
-    items = F.transform(_list_items(text), _item_text)
-    listed = F.when(F.rlike(text, F.lit(JSON_LIST)), items).otherwise(_nothing())
+    listed = F.transform(F.try_variant_get(value, "$", "array<variant>"), _variant_item)
     return (
-        F.when(kind == "STRING", parse_attributes(text))
+        F.when(kind == "STRING", parse_attributes(value.try_cast("string")))
         .when(F.startswith(kind, F.lit("ARRAY")), clean_attribute_list(listed))
         .otherwise(_nothing())
     )

@@ -78,7 +78,7 @@ def _tag_rest(df: DataFrame) -> DataFrame:
     )
 
 
-def _results(df: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+def _results(df: DataFrame, keep: tuple[str, ...], outputs: tuple[str, ...]) -> DataFrame:
     """Token and tag arrays; a brand that the query lacks is appended with its own span."""
     brand_line = F.col("_brand_line")
     brand_tags = span_line(padded(brand_line), "Brand")
@@ -90,22 +90,21 @@ def _results(df: DataFrame, keep: tuple[str, ...]) -> DataFrame:
         return F.concat(F.lit(" "), extra)
 
     done = F.col(ERROR).isNull()
-    return df.select(
-        *keep,
-        "query", "brand", "attributes", "product_type",
-        split_line(appended(F.col("_line"), spaced(brand_line))).alias("tokens"),
-        split_line(appended(tag_line(F.col("_marked")), brand_tags)).alias("bioes_tags"),
-        F.when(done, appended(F.col("query"), spaced(F.col("brand")))).alias("augmented_query"),
-        F.when(done, F.col("_append")).alias("brand_added"),
-        ERROR,
-    )
+    made = {
+        "tokens": split_line(appended(F.col("_line"), spaced(brand_line))),
+        "bioes_tags": split_line(appended(tag_line(F.col("_marked")), brand_tags)),
+        "augmented_query": F.when(done, appended(F.col("query"), spaced(F.col("brand")))),
+        "brand_added": F.when(done, F.col("_append")),
+    }
+    return df.select(*keep, *(made[name].alias(name) if name in made else F.col(name) for name in outputs))
 
 
-def label_queries(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def label_queries(df: DataFrame, keep: tuple[str, ...] = (), outputs: tuple[str, ...] = OUTPUT_COLUMNS) -> DataFrame:
     """Label a query table. ``keep`` names further input columns to carry along, unchanged.
 
-    Rows with an ``error`` are kept with empty token and tag arrays.
+    Rows with an ``error`` are kept with empty token and tag arrays. ``outputs`` names the results that are wanted:
+    the fence hides from the optimizer which of them are used, so what is not asked for is not computed.
     """
     cleaned = _clean_inputs(normalize_columns(df, keep), keep)
-    results = _results(_tag_rest(_tag_brands(_token_lines(cleaned))), keep)
-    return fence(results, *OUTPUT_COLUMNS)
+    results = _results(_tag_rest(_tag_brands(_token_lines(cleaned))), keep, outputs)
+    return fence(results, *outputs)

@@ -11,10 +11,11 @@ from pyspark.sql import types as T
 from slotweave.operators.columns import ERROR
 from slotweave.operators.decoding import SLOT_COLUMNS, decode_slots
 from slotweave.operators.labeling import label_queries
-from slotweave.operators.metrics import METRIC_NAMES, slot_scores
+from slotweave.operators.metrics import slot_scores
 from slotweave.operators.tagger import Tagger
+from slotweave.plans.scratch import scratch_path
 from slotweave.sources.readers import parse_list_text, read_queries
-from slotweave.sources.writers import CSV_OPTIONS, write_leaderboard, write_metrics, write_predictions
+from slotweave.sources.writers import write_leaderboard, write_metrics, write_predictions
 
 _TRUTH = ("query", "brand", "attributes", "product_type")
 
@@ -36,10 +37,9 @@ def predict_slots(test: DataFrame, tagger: Tagger | None = None) -> DataFrame:
     the query is used.
     """
     test = _with_list_attributes(test)
-    columns = [name for name in test.columns if name != ERROR]
-    row = test.select(F.struct(*columns).alias("_row"), *_TRUTH)
+    row = test.select(F.struct("*").alias("_row"), *_TRUTH)
     if tagger is None:
-        tagged = label_queries(row, keep=("_row",))
+        tagged = label_queries(row, keep=("_row",), outputs=("tokens", "bioes_tags"))
     else:
         tagged = tagger.tag_queries(row.select("_row", "query"))
     slots = decode_slots(tagged.select("_row", "tokens", "bioes_tags"))
@@ -49,23 +49,24 @@ def predict_slots(test: DataFrame, tagger: Tagger | None = None) -> DataFrame:
 def run(spark: SparkSession, source: str, target: str, model: str | None = None, mode: str = "error", **options) -> DataFrame:
     """Write ``predictions.csv``, ``metrics.json`` and ``leaderboard_submission.csv`` below ``target``.
 
-    Returns the metrics. They are observed while the predictions are written, and the leaderboard
-    is cut from the written predictions, so that every query is tagged once.
+    Rows with an ``error`` stay in the predictions and the leaderboard, are not scored, and are counted in
+    ``counters.json``. Returns the metrics. The tagged rows are written to the scratch folder first, so that every
+    query is tagged once.
     """
     test = read_queries(spark, source, **options)
-    predictions = predict_slots(test, Tagger.load(model) if model else None)
-    metrics = Observation("metrics")
-    write_predictions(predictions.observe(metrics, *slot_scores(predictions)), f"{target}/predictions.csv", mode)
-    scores = spark.createDataFrame([metrics.get], schema=", ".join(f"{name} double" for name in METRIC_NAMES))
+    if ERROR not in test.columns:
+        test = test.withColumn(ERROR, F.lit(None).cast("string"))
+    tagged = f"{scratch_path(spark)}/tagged"
+    counters = Observation("rows")
+    predict_slots(test, Tagger.load(model) if model else None).observe(
+        counters, F.count(F.lit(1)).alias("rows_read"), F.count(ERROR).alias("errors")).write.parquet(tagged)
+    predictions = spark.read.parquet(tagged)
+    write_predictions(predictions, f"{target}/predictions.csv", mode)
+    scores = predictions.where(F.col(ERROR).isNull()).agg(*slot_scores(predictions))
     write_metrics(scores, f"{target}/metrics.json", mode)
-    written = spark.read.options(**CSV_OPTIONS, multiLine=True).csv(f"{target}/predictions.csv")
-    slots = written.select(
-        "query",
-        F.coalesce("brand_pred", F.lit("")).alias("brand_pred"),
-        parse_list_text(F.col("attributes_pred")).alias("attributes_pred"),
-        F.coalesce("product_type_pred", F.lit("")).alias("product_type_pred"),
-    )
-    write_leaderboard(slots, f"{target}/leaderboard_submission.csv", mode)
+    counts = spark.createDataFrame([counters.get], "rows_read bigint, errors bigint")
+    write_metrics(counts, f"{target}/counters.json", mode)
+    write_leaderboard(predictions, f"{target}/leaderboard_submission.csv", mode)
     return scores
 
 

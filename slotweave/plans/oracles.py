@@ -216,7 +216,21 @@ DOCUMENT_LABELS = labelled(
     f"list_transform(list_filter(items, lambda a: a <> ''), lambda a: {clean('a')})", "doc_id",
 )
 
-_JSON_ATTRIBUTES = f"case when query_id % 2 = 0 then {cleaned_items('list_filter([brand, query], lambda v: v is not null)')} else {_LOG_ATTRIBUTES} end"
+_LISTED = "list_filter([brand, query], lambda v: v is not null) || ['1.0', '2.5', '1000.0', '[\"x\",1]']"
+_JSON_ATTRIBUTES = f"case when query_id % 2 = 0 then {cleaned_items(_LISTED)} else {_LOG_ATTRIBUTES} end"
+
+
+def with_failures(labelled_rows: str, lost: bool) -> str:
+    """All columns of labelled rows of which every tenth failed; of a lost row nothing is known."""
+    bad = "res.query_id % 10 = 0"
+    good = {"attributes": joined("a"), "tokens": joined("tokens", " "), "bioes_tags": joined("bioes_tags", " ")}
+    empty = {"tokens": "''", "bioes_tags": "''", "query": "null" if lost else "src.query"}
+    columns = ", ".join(
+        f"case when {bad} then {empty.get(name, 'null')} else {good.get(name, 'res.' + name)} end as {name}"
+        for name in ("query", "brand", "attributes", "product_type", "tokens", "bioes_tags", "augmented_query", "brand_added")
+    )
+    key = f"case when not ({bad}) then res.query_id end" if lost else "res.query_id"
+    return f"{labelled_rows} select {key} as query_id, {bad} as failed, {columns} from res join src on res.query_id = src.query_id"
 
 _TRAIN_TAGS = (
     f"{LABELLED}, train as (select distinct unnest(bioes_tags) as tag from res join src on res.query_id = src.query_id "
@@ -231,12 +245,14 @@ _UNSEEN = (
 ORACLES = {
     "tag_distribution": f"{LABELLED} select tag, count(*) as n_tokens from (select unnest(bioes_tags) as tag from res) group by tag",
     "A1_csv_source": f"select query_id, replace(query, ' ', chr(10)) as query, brand, attributes, product_type from ({LOG})",
-    "A2_json_source": f"select {clean('query')} as query, {clean('brand')} as brand, {clean('product_type')} as product_type, "
-                      f"{joined(_JSON_ATTRIBUTES)} as attributes, count(*) as n_rows from ({LOG}) group by all",
+    "A2_json_source": f"select query_id, {clean('query')} as query, {clean('brand')} as brand, {clean('product_type')} as product_type, {joined(_JSON_ATTRIBUTES)} as attributes from ({LOG})",
     "A3_column_names": "select p_partkey, p_name as query, cast(p_size as varchar) as brand, '' as product_type, '' as attributes from part",
     "A4_missing_texts": "select p_partkey, ['nil', 'none', '0'][p_partkey % 22 - 18] as cell from part where p_partkey % 22 >= 19 "
                         "union all select p_partkey, null from part where p_partkey % 22 < 19",
-    "A5_stream_labelling": f"{LABELLED} select query_id, {joined('tokens', ' ')} as tokens, {joined('bioes_tags', ' ')} as bioes_tags from res",
+    "A1_csv_folder": with_failures(LABELLED, lost=False),
+    "A5_stream_csv": with_failures(LABELLED, lost=False),
+    "A5_stream_json": with_failures(labelled(LOG, _JSON_ATTRIBUTES), lost=True),
+    "A5_stream_labelling": f"{LABELLED} select query_id, cast(null as varchar) as error, {FLAT} from res",
     "A6_csv_sink": f"{LABELLED} select query_id, cast(null as varchar) as error, {FLAT} from res",
     "A7_json_sink": f"{LABELLED} select query_id, cast(null as varchar) as error, {FLAT} from res",
     "A8_read_list_literals": f"with t as (select conv_id, turn, {tokens(clean('text'))} as tok from conversations) "
@@ -286,6 +302,9 @@ select query_id, {joined('tags', ' ')} as tags from three""",
     "E3_list_slot_scores": f"{SLOTS} select product_type, {_LIST} from scored group by product_type",
     "E4_row_alignment": SLOTS.replace(_LOG_ATTRIBUTES, "list_transform([true_attr1, true_attr2], lambda v: " + clean("v") + ")")
                         + f" select query_id, brand, brand_pred, {joined('attributes')} as attributes, {joined('attributes_pred')} as attributes_pred, product_type, product_type_pred from pred",
+    "E4_evaluated_failures": SLOTS.replace(_LOG_ATTRIBUTES, "list_transform([true_attr1, true_attr2], lambda v: " + clean("v") + ")")
+                             + f" select {_TOP1}, {_single('brand', 'brand')}, {_LIST}, {_single('product_type', 'product_type')}, cast((select count(*) from src) as bigint) as rows_read, "
+                             + "cast((select count(*) from src where query_id % 10 = 0) as bigint) as errors from scored where query_id % 10 <> 0",
     "E5_metric_pack": f"{SLOTS} select {_TOP1}, {_single('brand', 'brand')}, {_LIST}, {_single('product_type', 'product_type')} from scored",
     "E5_entity_scores": f"{SLOTS} select {_entity_single('brand', 'brand')}, {_entity_single('product_type', 'product_type')}, {_entity('attribute', 'hits', 'len(ps)', 'len(ts)')} from scored",
     "E6_report_labels": report("with pairs as (select cast(quality as varchar) as t, cast(toxic as varchar) as p from labels)"),

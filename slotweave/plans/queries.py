@@ -19,6 +19,7 @@ from slotweave.operators.columns import normalize_columns
 from slotweave.operators.decoding import SLOT_COLUMNS, decode_slots, leaderboard
 from slotweave.operators.labeling import label_queries
 from slotweave.operators.tagger import Tagger, train_tagger
+from slotweave.plans import evaluate_job
 from slotweave.plans.evaluate_job import predict_slots
 from slotweave.plans.label_job import job_counters, label_table
 from slotweave.plans.query_log import query_log
@@ -55,7 +56,8 @@ def _flat(labelled: DataFrame, *keep: str) -> DataFrame:
 
 def tag_distribution(spark: SparkSession, folder: str) -> DataFrame:
     """How many tokens each tag covers."""
-    return _labelled(spark, folder).select(F.explode("bioes_tags").alias("tag")).groupBy("tag").agg(
+    tags = label_queries(_log(spark, folder), outputs=("bioes_tags",))
+    return tags.select(F.explode("bioes_tags").alias("tag")).groupBy("tag").agg(
         F.count(F.lit(1)).alias("n_tokens")
     )
 
@@ -430,17 +432,28 @@ def csv_source(spark: SparkSession, folder: str) -> DataFrame:
     return df.select(F.col("query_id").cast("bigint").alias("query_id"), "query", "brand", "attributes", "product_type")
 
 
-def json_source(spark: SparkSession, folder: str) -> DataFrame:
-    """JSON lines whose attributes are a list in one row and text in the next."""
+def _json_lines(spark: SparkSession, folder: str, malformed: bool) -> str:
+    """The query log as JSON lines in several files: attributes are a list in one row and text in the next."""
     path = f"{scratch_path(spark)}/log.json"
-    log = _log(spark, folder).select("query", "brand", F.col("product_type").alias("Product_type"), "attributes", "query_id")
-    listed = F.to_json(F.struct("query", "brand", "Product_type", F.array("brand", "query").alias("attributes")))
-    plain = F.to_json(F.struct("query", "brand", "Product_type", "attributes"))
-    log.select(F.when(F.col("query_id") % 2 == 0, listed).otherwise(plain).alias("value")).write.text(path)
-    labelled = label_queries(readers.read_queries(spark, path))
-    return labelled.groupBy("query", "brand", "product_type", _joined("attributes").alias("attributes")).agg(
-        F.count(F.lit(1)).alias("n_rows")
-    )
+    log = _log(spark, folder).select("query_id", "query", "brand", F.col("product_type").alias("Product_type"), "attributes")
+    items = F.when(F.col("brand").isNull(), F.to_json(F.array("query"))).otherwise(F.to_json(F.array("brand", "query")))
+    listed = F.concat(F.substring(items, F.lit(1), F.length(items) - 1), F.lit(', 1.0, 2.50, 1e3, ["x", 1]]'))
+    head = F.to_json(F.struct("query_id", "query", "brand", "Product_type"))
+    # The attributes as a JSON string: the only item of a list, without its brackets.
+    single = F.to_json(F.array("attributes"))
+    attributes = F.when(F.col("query_id") % 2 == 0, listed).otherwise(F.substring(single, F.lit(2), F.length(single) - 2))
+    line = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(', "attributes": '), attributes, F.lit("}"))
+    if malformed:
+        line = F.when(F.col("query_id") % 10 == 0, F.concat(F.lit("{"), line)).otherwise(line)
+    log.select(line.alias("value")).repartition(4, "value").write.text(path)
+    return path
+
+
+def json_source(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON lines whose attributes are a list, with numbers and a list in it, in one row and text in the next."""
+    rows = readers.read_queries(spark, _json_lines(spark, folder, malformed=False))
+    return _flat(label_queries(rows, keep=("query_id",)), F.col("query_id").cast("bigint").alias("query_id")).select(
+        "query_id", "query", "brand", "product_type", "attributes")
 
 
 def column_names(spark: SparkSession, folder: str) -> DataFrame:
@@ -465,7 +478,61 @@ def stream_labelling(spark: SparkSession, folder: str) -> DataFrame:
         query_log(spark, stream), f"{path}/labelled", f"{path}/checkpoint", "parquet", keep=("query_id",)
     )
     query.awaitTermination()
-    return _flat(spark.read.parquet(f"{path}/labelled"), "query_id").select("query_id", "tokens", "bioes_tags")
+    return _flat(spark.read.parquet(f"{path}/labelled"), "query_id", "error")
+
+
+def _streamed(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """A stream labelled in micro-batches and appended; then all nine columns as a table."""
+    path = scratch_path(spark)
+    label_stream(rows, f"{path}/labelled", f"{path}/checkpoint", "parquet", keep=("query_id",)).awaitTermination()
+    labelled = spark.read.parquet(f"{path}/labelled")
+    return _flat(labelled, F.col("query_id").cast("bigint").alias("query_id"), F.col("error").isNotNull().alias("failed"))
+
+
+def _csv_lines(spark: SparkSession, folder: str) -> str:
+    """The query log as CSV in several files with headers; every tenth row has a cell too many."""
+    path = f"{scratch_path(spark)}/log.csv"
+    names = ("query_id", "query", "brand", "attributes", "product_type")
+    cells = [F.coalesce(F.concat(F.lit('"'), F.replace(F.col(name).cast("string"), F.lit('"'), F.lit('""')), F.lit('"')), F.lit("")) for name in names]
+    more = F.when(F.col("query_id") % 10 == 0, F.lit(",surplus")).otherwise("")
+    lines = _log(spark, folder).select(F.concat(F.concat_ws(",", *cells), more).alias(",".join(names)))
+    lines.repartition(4, F.col(f"`{lines.columns[0]}`")).write.options(
+        header=True, sep="\x01", quote="", escape="").csv(path)
+    return path
+
+
+def stream_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """CSV files as a stream, one file a micro-batch, malformed rows among them."""
+    return _streamed(spark, readers.read_csv(spark, _csv_lines(spark, folder), stream=True, maxFilesPerTrigger=1))
+
+
+def csv_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """The same files as a table."""
+    rows = readers.read_csv(spark, _csv_lines(spark, folder))
+    return _flat(label_queries(rows, keep=("query_id",)), F.col("query_id").cast("bigint").alias("query_id"),
+                 F.col("error").isNotNull().alias("failed"))
+
+
+def stream_json(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON lines as a stream, one file a micro-batch, lines among them that are not JSON."""
+    path = _json_lines(spark, folder, malformed=True)
+    return _streamed(spark, readers.read_json(spark, path, stream=True, further=("query_id",), maxFilesPerTrigger=1))
+
+
+def evaluated_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """The evaluation job on CSV with malformed rows, which are counted but not scored."""
+    path = f"{scratch_path(spark)}/test.csv"
+    log = _log(spark, folder)
+    literal = F.concat(F.lit("['"), "true_attr1", F.lit("', '"), "true_attr2", F.lit("']"))
+    names = ("query_id", "query", "brand", "attributes", "product_type")
+    cells = [F.coalesce(F.concat(F.lit('"'), F.col(name).cast("string"), F.lit('"')), F.lit("")) for name in names]
+    more = F.when(F.col("query_id") % 10 == 0, F.lit(",surplus")).otherwise("")
+    log.withColumn("attributes", literal).select(F.concat(F.concat_ws(",", *cells), more).alias(",".join(names))).write.options(
+        header=True, sep="\x01", quote="", escape="").csv(path)
+    target = scratch_path(spark)
+    evaluate_job.run(spark, path, target)
+    scores, counts = (spark.read.json(f"{target}/{name}.json") for name in ("metrics", "counters"))
+    return _rounded(scores.withColumns({name: counts.select(name).scalar() for name in ("rows_read", "errors")}))
 
 
 def _round_trip(spark: SparkSession, folder: str, fmt: str) -> DataFrame:
@@ -547,7 +614,10 @@ QUERIES = {
     "A2_json_source": json_source,
     "A3_column_names": column_names,
     "A4_missing_texts": missing_texts,
+    "A1_csv_folder": csv_folder,
     "A5_stream_labelling": stream_labelling,
+    "A5_stream_csv": stream_csv,
+    "A5_stream_json": stream_json,
     "A6_csv_sink": csv_sink,
     "A7_json_sink": json_sink,
     "A8_read_list_literals": read_list_literals,
@@ -582,6 +652,7 @@ QUERIES = {
     "E2_single_slot_scores": single_slot_scores,
     "E3_list_slot_scores": list_slot_scores,
     "E4_row_alignment": row_alignment,
+    "E4_evaluated_failures": evaluated_failures,
     "E5_metric_pack": metric_pack,
     "E5_entity_scores": entity_scores,
     "E6_report_labels": report_labels,

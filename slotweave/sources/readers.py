@@ -6,12 +6,15 @@ reason in ``error``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from pathlib import PurePosixPath
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
+from slotweave.functions.attributes import number_text
 from slotweave.operators.columns import ALTERNATE_NAMES, ERROR
 
 FORMATS = ("csv", "json", "parquet")
@@ -21,6 +24,8 @@ MISSING_TEXTS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 LIST_COLUMNS = ("attributes", "tokens", "bioes_tags", "attributes_pred")
+MAX_FIELDS = 1000
+_RAW = "_raw_record"
 _DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
@@ -53,74 +58,126 @@ def _header(spark: SparkSession, path: str, options: dict) -> list[str]:
     return names
 
 
-def _without_case_twins(names: list[str]) -> list[int]:
-    """Positions to keep so that no two names differ by case only; required names win."""
-    chosen: dict[str, int] = {}
-    for position, name in enumerate(names):
-        if name.lower() not in chosen or name in ALTERNATE_NAMES:
-            chosen[name.lower()] = position
-    return sorted(chosen.values())
+def _distinct_names(names: list[str]) -> list[str]:
+    """Names of which no two differ by case only: required names keep theirs, later twins get a number."""
+    taken = {name.lower() for name in names if name in ALTERNATE_NAMES}
+    out = []
+    for name in names:
+        final, repeat = name, 0
+        while name not in ALTERNATE_NAMES and final.lower() in taken:
+            repeat += 1
+            final = f"{name}.{repeat}"
+        taken.add(final.lower())
+        out.append(final)
+    return out
+
+
+def _csv_options(encoding: str, multi_line: bool) -> dict:
+    return {**_DIALECT, "encoding": encoding, "multiLine": multi_line}
 
 
-def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", multi_line: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", multi_line: bool = True, stream: bool = False, **more) -> DataFrame:
     """CSV with a header; doubled quotes, line breaks inside quotes.
 
-    A row with more cells than the header gets an ``error``; a short row is filled with NULL.
-    ``multi_line=False`` lets Spark split large files, for data without line breaks in cells.
+    A row with more cells than the header gets an ``error`` that ends in the raw record; a short row is filled with
+    NULL. All files must have the same header: another one is an error when its file is read. Where names repeat, or
+    differ by case only, headers cannot be compared, so only one file may be read. ``multi_line=False`` lets Spark split large
+    files, for data without line breaks in cells. With ``stream`` the header comes from the files that are there.
     """
-    options = {**_DIALECT, "encoding": encoding, "multiLine": multi_line}
-    names = _header(spark, path, options)
-    return _read_cells(spark, path, names, {**options, "header": True})
+    options = {**_csv_options(encoding, multi_line), **more}
+    first = spark.read.options(**_csv_options(encoding, multi_line))
+    names = _header(spark, path, _csv_options(encoding, multi_line))
+    written = [cell for cell in first.csv(path, header=False).limit(1).collect()[0]]
+    checked = written == names and len({name.lower() for name in names}) == len(names)
+    if not checked and (stream or len(first.csv(path, header=False).inputFiles()) > 1):
+        raise ValueError(f"{path}: column names repeat or are blank, so files cannot be told apart by their headers")
+    source = spark.readStream if stream else spark.read
+    return _read_cells(source, path, names, {**options, "header": True}, checked)
 
 
 def read_headless_csv(spark: SparkSession, path: str, names: list[str], encoding: str = "UTF-8", multi_line: bool = True) -> DataFrame:
     """CSV files without a header line, with the given column names."""
-    return _read_cells(spark, path, names, {**_DIALECT, "encoding": encoding, "multiLine": multi_line})
+    return _read_cells(spark.read, path, names, _csv_options(encoding, multi_line), False)
 
 
-def _read_cells(spark: SparkSession, path: str, names: list[str], options: dict) -> DataFrame:
-    """All cells as text, and an error for rows with more cells than names."""
-    fields = [T.StructField(f"_{k}", T.StringType()) for k in range(len(names))]
-    schema = T.StructType([*fields, T.StructField("_more", T.StringType())])
-    raw = spark.read.schema(schema).options(**options).csv(path)
-    cells = [missing_to_null(F.col(f"_{k}")).alias(names[k]) for k in _without_case_twins(names)]
-    error = F.when(F.col("_more").isNotNull(), F.lit(f"more than {len(names)} cells"))
+def _read_cells(source: DataFrameReader | DataStreamReader, path: str, names: list[str], options: dict, checked: bool) -> DataFrame:
+    """All cells as text, and an error for rows with more cells than names; for tables and streams.
+
+    ``checked`` has Spark compare each file's header with the names.
+    """
+    fields = names if checked else [f"_{k}" for k in range(len(names))]
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*fields, _RAW)])
+    raw = source.schema(schema).options(
+        **options, enforceSchema=not checked, columnNameOfCorruptRecord=_RAW, columnPruning=False).csv(path)
+    cells = [missing_to_null(F.col(f"`{field}`")).alias(name) for field, name in zip(fields, _distinct_names(names))]
+    # Spark keeps the raw record of short rows as well; a wider reading tells them from long ones.
+    wider = ", ".join(f"_{k} string" for k in range(len(names) + 1))
+    surplus = F.from_csv(F.col(_RAW), wider, {**_DIALECT, "multiLine": "true"})[f"_{len(names)}"]
+    error = F.when(surplus.isNotNull(), F.concat(F.lit(f"more than {len(names)} cells: "), F.col(_RAW)))
     if ERROR in names:
-        error = F.coalesce(error, missing_to_null(F.col(f"_{names.index(ERROR)}")))
-        cells = [cell for k, cell in zip(_without_case_twins(names), cells) if names[k] != ERROR]
+        error = F.coalesce(error, missing_to_null(F.col(f"`{fields[names.index(ERROR)]}`")))
+        cells = [cell for name, cell in zip(names, cells) if name != ERROR]
     return raw.select(*cells, error.alias(ERROR))
 
 
-def _json_text(record: Column, name: str) -> Column:
-    """Text of a scalar field of a VARIANT record."""
-    value = F.try_variant_get(record, f"$.{name}", "variant")
-    text = value.cast("string")
-    return F.when(F.schema_of_variant(value) == "BOOLEAN", F.initcap(text)).otherwise(text)
+def _field(record: Column, name: str) -> Column:
+    """A field of a VARIANT record: NULL where it is missing, a VARIANT null where it is null."""
+    quoted = name.replace("\\", "\\\\").replace('"', '\\"')
+    return F.try_variant_get(record, f'$["{quoted}"]', "variant")
 
 
-def read_json(spark: SparkSession, path: str, whole_document: bool = False, encoding: str = "UTF-8") -> DataFrame:
+def _json_text(value: Column) -> Column:
+    """Text of a VARIANT value; lists and objects are JSON."""
+    kind, text = F.schema_of_variant(value), value.try_cast("string")
+    return (
+        F.when(F.is_variant_null(value), None)
+        .when(kind == "BOOLEAN", F.initcap(text))
+        .when(kind.startswith("DECIMAL") | (kind == "DOUBLE"), number_text(value.try_cast("double")))
+        .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), F.to_json(value))
+        .otherwise(text)
+    )
+
+
+def _further_names(raw: DataFrame) -> list[str]:
+    """Names of the records' fields besides those of a query, by one pass; more than ``MAX_FIELDS`` are an error."""
+    keys = F.explode(F.map_keys(F.try_variant_get("record", "$", "map<string, variant>"))).alias("key")
+    found = [row.key for row in raw.select(keys).distinct().limit(MAX_FIELDS + 1).collect()]
+    if len(found) > MAX_FIELDS:
+        raise ValueError(f"more than {MAX_FIELDS} different fields: name the ones to keep")
+    known = {*ALTERNATE_NAMES, *ALTERNATE_NAMES.values(), ERROR}
+    return sorted(name for name in found if name not in known)
+
+
+def read_json(
+    spark: SparkSession, path: str, whole_document: bool = False, encoding: str = "UTF-8",
+    further: Sequence[str] | None = None, stream: bool = False, **more,
+) -> DataFrame:
     """JSON lines, or with ``whole_document`` one list of records per file.
 
-    ``attributes`` is a VARIANT: text and lists may be mixed from row to row.
+    ``attributes`` is a VARIANT: text and lists may be mixed from row to row. Of a query's columns the exact name wins
+    wherever it occurs, also with null. ``further`` names the other fields to keep, as text; without it a table keeps
+    all, which takes a pass over the records, and a stream none. A line that repeats a key is not JSON to Spark, unless
+    ``spark.sql.variant.allowDuplicateKeys`` is set, by which the last value counts.
     """
+    source = spark.readStream if stream else spark.read
     raw = (
-        spark.read.schema("record variant, _corrupt_record string")
-        .options(singleVariantColumn="record", multiLine=whole_document, encoding=encoding)
+        source.schema("record variant, _corrupt_record string")
+        .options(singleVariantColumn="record", multiLine=whole_document, encoding=encoding, **more)
         .json(path)
     )
     if whole_document:
         listed = F.coalesce(F.col("record").try_cast("array<variant>"), F.array("record"))
         raw = raw.select(F.explode_outer(listed).alias("record"), "_corrupt_record")
+    if further is None:
+        further = [] if stream else _further_names(raw)
     record = F.col("record")
-    texts = [
-        F.coalesce(_json_text(record, name), _json_text(record, ALTERNATE_NAMES[name])).alias(name)
-        for name in ("query", "brand", "product_type")
-    ]
-    attributes = F.coalesce(
-        F.try_variant_get(record, "$.attributes", "variant"), F.try_variant_get(record, "$.Attributes", "variant")
-    )
+    values = {name: F.coalesce(_field(record, name), _field(record, ALTERNATE_NAMES[name])) for name in ALTERNATE_NAMES}
+    attributes = values.pop("attributes").alias("attributes")
+    final = _distinct_names([*ALTERNATE_NAMES, ERROR, *further])[len(ALTERNATE_NAMES) + 1:]
+    names, cells = [*values, *final], [*values.values(), *(_field(record, name) for name in further)]
     error = F.when(F.col("_corrupt_record").isNotNull(), F.concat(F.lit("not JSON: "), F.col("_corrupt_record")))
-    return raw.select(*texts, attributes.alias("attributes"), error.alias(ERROR))
+    texts = raw.select(F.transform(F.array(*cells), _json_text).alias("_texts"), attributes, error.alias(ERROR))
+    return texts.select(*(F.get("_texts", F.lit(k)).alias(name) for k, name in enumerate(names)), "attributes", ERROR)
 
 
 def read_queries(spark: SparkSession, path: str, fmt: str | None = None, **options) -> DataFrame:
