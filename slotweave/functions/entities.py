@@ -1,6 +1,6 @@
 """Decode BIOES tags back into entity texts, and project them to slots.
 
-The pairs ``tag MARK token`` form one line. An entity is a single-token tag, or an opening
+The pairs ``tag MARK position`` form one line; the tokens themselves never enter it. An entity is a single-token tag, or an opening
 tag followed by inner tags up to a closing tag; both are found by one linear pattern scan.
 Single-token tags inside an open span neither close it nor join it. An opening tag names the
 type, closing and inner tags are not compared with it. Spans that never close are dropped.
@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from slotweave.functions.spans import LABELS, MARK
+from slotweave.functions.spans import LABELS, MARK, OUTSIDE
 
 _END = "\x1d"
-# One cell is  tag MARK token END.
+# One cell is  tag MARK position END.
 _REST = f"[^{_END}]*+{_END}"
 _SINGLE = f"S-{_REST}"
 _ENTITY = f"(?<=\\A|{_END})(?:B-[^{MARK}]{_REST}(?:[IS]-{_REST})*+E-{_REST}|{_SINGLE})"
@@ -22,11 +22,11 @@ _CELL = f"((?:[BIES])-[^{_END}]*+){_END}"
 
 
 def _pairs(tokens: Column, tags: Column) -> Column:
-    """``tag MARK token END`` cells, joined; the shorter list decides the length."""
+    """``tag MARK position END`` cells, joined; the shorter list decides the length, a missing tag is ``O``."""
     size = F.least(F.size(tokens), F.size(tags))
-    cells = F.zip_with(
-        F.slice(tags, F.lit(1), size), F.slice(tokens, F.lit(1), size),
-        lambda tag, token: F.concat(tag, F.lit(MARK), token, F.lit(_END)),
+    cells = F.transform(
+        F.slice(tags, F.lit(1), size),
+        lambda tag, k: F.concat(F.coalesce(tag, F.lit(OUTSIDE)), F.lit(MARK), k.cast("string"), F.lit(_END)),
     )
     return F.array_join(cells, "")
 
@@ -35,7 +35,7 @@ def _label(cell: Column) -> Column:
     return F.regexp_extract(cell, f"^[BS]-([^{MARK}]*)", 1)
 
 
-def _span_entities(match: Column) -> Column:
+def _span_entities(match: Column, tokens: Column) -> Column:
     """Entities of one match, in the order in which they end: inner single tokens come first."""
     cells = F.regexp_extract_all(match, F.lit(_CELL), F.lit(1))
 
@@ -43,7 +43,7 @@ def _span_entities(match: Column) -> Column:
         return F.startswith(cell, F.lit("S-"))
 
     def token(cell: Column) -> Column:
-        return F.substring_index(cell, MARK, -1)
+        return F.coalesce(F.get(tokens, F.substring_index(cell, MARK, -1).cast("int")), F.lit(""))
 
     singles = F.transform(
         F.filter(cells, is_single),
@@ -55,9 +55,9 @@ def _span_entities(match: Column) -> Column:
 
 
 def entity_list(tokens: Column, tags: Column) -> Column:
-    """``array<struct<label, text>>`` in the order in which the entities end."""
+    """``array<struct<label, text>>`` in the order in which the entities end; a missing token is an empty text."""
     matches = F.regexp_extract_all(_pairs(tokens, tags), F.lit(_ENTITY), F.lit(0))
-    return F.flatten(F.transform(matches, _span_entities))
+    return F.flatten(F.transform(matches, lambda match: _span_entities(match, tokens)))
 
 
 def group_entities(entities: Column) -> Column:

@@ -87,8 +87,9 @@ def token_examples(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
 class Tagger:
     """A fitted pipeline with its tag vocabulary."""
 
-    def __init__(self, pipeline: PipelineModel, tags: list[str], buckets: int):
+    def __init__(self, pipeline: PipelineModel, tags: list[str], buckets: int, history: list[float] = ()):
         self.pipeline, self.tags, self.buckets = pipeline, tags, buckets
+        self.history = list(history)  # the objective after each iteration; not saved
 
     def save(self, path: str) -> None:
         """Write the pipeline and, as Parquet, the vocabulary."""
@@ -174,4 +175,4 @@ def train_tagger(
     regression = LogisticRegression(
         family="multinomial", maxIter=max_iter, regParam=reg_param, standardization=False
     ).fit(vectors.select("features", "label"))
-    return Tagger(PipelineModel([hashing, regression]), tags, buckets)
+    return Tagger(PipelineModel([hashing, regression]), tags, buckets, regression.summary.objectiveHistory)

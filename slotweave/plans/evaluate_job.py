@@ -14,7 +14,7 @@ from slotweave.operators.labeling import label_queries
 from slotweave.operators.metrics import slot_scores
 from slotweave.operators.tagger import Tagger
 from slotweave.plans.scratch import scratch_path
-from slotweave.sources.readers import parse_list_text, read_queries
+from slotweave.sources.readers import FORMATS, add_reader_options, parse_list_text, read_queries, reader_options
 from slotweave.sources.writers import write_leaderboard, write_metrics, write_predictions
 
 _TRUTH = ("query", "brand", "attributes", "product_type")
@@ -75,10 +75,13 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--test-data", required=True, help="table with query, brand, attributes, product_type")
     parser.add_argument("--output-dir", required=True)
     parser.add_argument("--model-dir", help="a saved tagger; without it the weak labeller predicts")
+    parser.add_argument("--input-format", choices=FORMATS)
+    add_reader_options(parser)
     parser.add_argument("--mode", choices=("error", "overwrite"), default="error")
     args = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("evaluate query slots").getOrCreate()
-    run(spark, args.test_data, args.output_dir, args.model_dir, args.mode).show(vertical=True)
+    options = reader_options(args, args.test_data, args.input_format)
+    run(spark, args.test_data, args.output_dir, args.model_dir, args.mode, fmt=args.input_format, **options).show(vertical=True)
 
 
 if __name__ == "__main__":

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import argparse
 import time
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from slotweave.operators.columns import ERROR
 from slotweave.operators.labeling import label_queries
-from slotweave.sources.readers import format_of, read_queries
+from slotweave.sources.readers import add_reader_options, format_of, read_csv, read_json, read_queries, reader_options
 from slotweave.sources.writers import write_table
+from slotweave.streaming.label_stream import label_stream, query_stream
 
 
 def job_counters() -> list[Column]:
@@ -26,11 +28,13 @@ def job_counters() -> list[Column]:
     ]
 
 
-def label_table(df: DataFrame, path: str, fmt: str | None = None, mode: str = "error") -> dict:
-    """Label ``df`` and write it to ``path``; the counters come from the same pass."""
+def label_table(
+    df: DataFrame, path: str, fmt: str | None = None, mode: str = "error", keep: tuple[str, ...] = ()
+) -> dict:
+    """Label ``df`` and write it to ``path``, ``keep`` columns first; the counters come from the same pass."""
     name = format_of(path, fmt)
     counters, start = Observation("labelling"), time.monotonic()
-    write_table(label_queries(df).observe(counters, *job_counters()), path, name, mode)
+    write_table(label_queries(df, keep).observe(counters, *job_counters()), path, name, mode)
     elapsed = time.monotonic() - start
     counts = counters.get
     return {**counts, "elapsed_sec": elapsed, "rows_per_sec": counts["rows_processed"] / elapsed}
@@ -38,7 +42,8 @@ def label_table(df: DataFrame, path: str, fmt: str | None = None, mode: str = "e
 
 def run(
     spark: SparkSession, source: str, target: str, source_format: str | None = None,
-    target_format: str | None = None, mode: str = "error", partitions: int | None = None, **options,
+    target_format: str | None = None, mode: str = "error", partitions: int | None = None,
+    keep: tuple[str, ...] = (), **options,
 ) -> dict:
     """Label the table at ``source`` into ``target`` and return the counters.
 
@@ -48,7 +53,27 @@ def run(
     df = read_queries(spark, source, source_format, **options)
     if partitions:
         df = df.repartition(partitions)
-    return label_table(df, target, target_format, mode)
+    return label_table(df, target, target_format, mode, keep)
+
+
+def run_stream(
+    spark: SparkSession, source: str, target: str, checkpoint: str, source_format: str | None = None,
+    target_format: str | None = None, keep: tuple[str, ...] = (), **options,
+) -> dict:
+    """Label the files at ``source`` that the checkpoint does not know yet, append them, and return the summed counters."""
+    fmt = format_of(source, source_format)
+    if fmt == "parquet":
+        rows = query_stream(spark, source, spark.read.parquet(source).schema, **options)
+    else:
+        reader = read_csv if fmt == "csv" else partial(read_json, further=keep)
+        rows = reader(spark, source, stream=True, **options)
+    query = label_stream(rows, target, checkpoint, target_format, keep, counters=job_counters())
+    query.awaitTermination()
+    totals: dict[str, int] = {}
+    for progress in query.recentProgress:
+        for name, count in (progress.observedMetrics.get("labelling") or Row()).asDict().items():
+            totals[name] = totals.get(name, 0) + count
+    return totals
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -58,12 +83,18 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--input-format", choices=("csv", "json", "parquet"))
     parser.add_argument("--output-format", choices=("csv", "json", "parquet"))
     parser.add_argument("--mode", choices=("error", "overwrite", "append"), default="error")
+    parser.add_argument("--keep", nargs="*", default=(), help="further input columns to carry along")
+    parser.add_argument("--checkpoint", help="label new files only, as a stream with this checkpoint folder")
+    add_reader_options(parser)
     parser.add_argument("--partitions", type=int, help="spread the input over this many tasks")
     args = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("label queries").getOrCreate()
-    counts = run(
-        spark, args.input, args.output, args.input_format, args.output_format, args.mode, args.partitions
-    )
+    options, keep = reader_options(args, args.input, args.input_format), tuple(args.keep)
+    if args.checkpoint:
+        counts = run_stream(spark, args.input, args.output, args.checkpoint, args.input_format, args.output_format, keep, **options)
+    else:
+        counts = run(spark, args.input, args.output, args.input_format, args.output_format, args.mode,
+                     args.partitions, keep, **options)
     for name, value in counts.items():
         print(f"{name}: {value}")
 

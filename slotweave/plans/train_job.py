@@ -7,9 +7,9 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from slotweave.operators.metrics import classification_report, tag_pairs
-from slotweave.operators.tagger import Tagger, train_tagger
+from slotweave.operators.tagger import BUCKETS, Tagger, train_tagger
 from slotweave.operators.training_data import train_validation_split
-from slotweave.sources.readers import read_labelled
+from slotweave.sources.readers import FORMATS, read_labelled
 
 
 def validation_report(tagger: Tagger, validation: DataFrame) -> DataFrame:
@@ -18,23 +18,42 @@ def validation_report(tagger: Tagger, validation: DataFrame) -> DataFrame:
     return classification_report(tag_pairs(tagged, "bioes_tags", "predicted"))
 
 
-def run(spark: SparkSession, source: str, model: str, fmt: str | None = None, seed: int = 0) -> DataFrame:
-    """Fit a tagger on 80 % of the queries, save it, and report on the rest."""
-    labelled = read_labelled(spark, source, fmt)
+def run(
+    spark: SparkSession, source: str, model: str, fmt: str | None = None, seed: int = 0, report: str | None = None,
+    max_iter: int = 30, buckets: int = BUCKETS, mode: str = "error", **options,
+) -> DataFrame:
+    """Fit a tagger on 80 % of the queries, save it, and write the report on the rest.
+
+    ``report`` (by default ``report`` below the model's folder) gets the report per tag as ``tags`` and the value of the
+    objective after each iteration as ``objective``, both as Parquet. Returns the report.
+    """
+    labelled = read_labelled(spark, source, fmt, **options)
     training, validation = train_validation_split(labelled, seed=seed)
-    tagger = train_tagger(training)
+    tagger = train_tagger(training, buckets=buckets, max_iter=max_iter)
     tagger.save(model)
-    return validation_report(tagger, validation)
+    report = report or f"{model}/report"
+    validation_report(tagger, validation).write.mode(mode).parquet(f"{report}/tags")
+    spark.createDataFrame(list(enumerate(tagger.history)), "iteration int, objective double").write.mode(mode).parquet(
+        f"{report}/objective")
+    return spark.read.parquet(f"{report}/tags")
 
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Fit a token tagger on labelled sequences")
     parser.add_argument("--input", required=True, help="labelled sequences: CSV, JSON or Parquet path")
+    parser.add_argument("--input-format", choices=FORMATS)
     parser.add_argument("--model-dir", required=True)
+    parser.add_argument("--report-path", help="folder of the report; by default below the model's")
     parser.add_argument("--seed", type=int, default=0)
+    parser.add_argument("--max-iter", type=int, default=30)
+    parser.add_argument("--buckets", type=int, default=BUCKETS, help="hash buckets of each feature template")
+    parser.add_argument("--mode", choices=("error", "overwrite"), default="error")
     args = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("train query tagger").getOrCreate()
-    run(spark, args.input, args.model_dir, seed=args.seed).show(100, truncate=False)
+    report = run(spark, args.input, args.model_dir, args.input_format, args.seed, args.report_path, args.max_iter,
+                 args.buckets, args.mode)
+    for row in report.orderBy("position", "label").collect():  # a row per tag of a closed set, and three totals
+        print(row.label, row.precision, row.recall, row.f1, row.support, sep="\t")
 
 
 if __name__ == "__main__":

@@ -6,6 +6,7 @@ reason in ``error``.
 
 from __future__ import annotations
 
+from argparse import ArgumentParser, Namespace
 from collections.abc import Sequence
 from pathlib import PurePosixPath
 
@@ -194,6 +195,22 @@ def read_queries(spark: SparkSession, path: str, fmt: str | None = None, **optio
     return df
 
 
+def add_reader_options(parser: ArgumentParser) -> None:
+    """Options of the readers for a command line."""
+    parser.add_argument("--encoding", default="UTF-8", help="of CSV and JSON files")
+    parser.add_argument("--single-line", action="store_true", help="CSV cells hold no line breaks: large files can be split")
+    parser.add_argument("--whole-document", action="store_true", help="JSON files hold one list of records each")
+
+
+def reader_options(args: Namespace, path: str, fmt: str | None = None) -> dict:
+    """The options that the format of ``path`` has."""
+    return {
+        "csv": {"encoding": args.encoding, "multi_line": not args.single_line},
+        "json": {"encoding": args.encoding, "whole_document": args.whole_document},
+        "parquet": {},
+    }[format_of(path, fmt)]
+
+
 def parse_list_text(text: Column) -> Column:
     """``array<string>`` of a list literal in JSON or Python notation; NULL for other text."""
     # Python writes \xNN where JSON wants \u00NN; a doubled backslash is no escape.

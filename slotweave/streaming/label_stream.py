@@ -6,9 +6,9 @@ only remembers which files are done.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -21,7 +21,10 @@ def query_stream(
     spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet",
     max_files_per_trigger: int | None = None, **options,
 ) -> DataFrame:
-    """A stream over the files of a folder; the schema is given, never guessed."""
+    """A stream over the Parquet files of a folder; the schema is given, never guessed.
+
+    For CSV and JSON use ``read_csv`` and ``read_json`` with ``stream=True``, which read as they do for tables.
+    """
     reader = spark.readStream.schema(schema).options(**options)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -30,11 +33,16 @@ def query_stream(
 
 def label_stream(
     stream: DataFrame, path: str, checkpoint: str, fmt: str | None = None, keep: tuple[str, ...] = (),
-    prepare: Callable[[DataFrame], DataFrame] | None = None, available_now: bool = True,
+    prepare: Callable[[DataFrame], DataFrame] | None = None, available_now: bool = True, counters: Sequence[Column] = (),
 ) -> StreamingQuery:
-    """Append the labelled rows of ``stream`` to ``path``; start the query and return it."""
+    """Append the labelled rows of ``stream`` to ``path``; start the query and return it.
+
+    ``counters`` are aggregates of each micro-batch, to be found in its progress as ``labelling``.
+    """
     name = format_of(path, fmt)
     labelled = label_queries(prepare(stream) if prepare else stream, keep)
+    if counters:
+        labelled = labelled.observe("labelling", *counters)
     writer = (lists_as_text(labelled) if name == "csv" else labelled).writeStream.format(name)
     writer = writer.options(**{"csv": CSV_OPTIONS, "json": JSON_OPTIONS}.get(name, {}))
     writer = writer.outputMode("append").option("checkpointLocation", checkpoint)

@@ -3,12 +3,15 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from slotweave.operators.decoding import decode_slots
 from slotweave.operators.labeling import OUTPUT_COLUMNS, label_queries
 from slotweave.operators.metrics import classification_report, slot_metrics, tag_pairs
 from slotweave.operators.tagger import Tagger, token_examples, train_tagger
-from slotweave.operators.training_data import train_validation_split
-from slotweave.plans import evaluate_job, label_job
+from slotweave.operators.training_data import tag_vocabulary, train_validation_split
+from slotweave.plans import evaluate_job, label_job, train_job
+from slotweave.plans.queries import QUERIES
 from slotweave.plans.query_log import query_log
+from slotweave.plans.scratch import scratch_path
 from slotweave.sources.readers import parse_list_text, read_labelled, read_queries
 from slotweave.streaming.label_stream import label_stream, query_stream
 
@@ -138,3 +141,98 @@ def test_tagger(spark, log, tmp_path):
     assert by_rows.collect() == by_tokens.collect()
     assert by_rows.where("label = 'accuracy'").first().f1 > 0.8
     assert loaded.tag_queries(spark.createDataFrame([("",), ("red bolt",)], "query string")).collect()[0].bioes_tags == []
+
+
+def _file(folder, name, text):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(text)
+    return str(folder)
+
+
+CELLS = 'query,product_type,brand,attributes\nred shoe,shoe,NA,"[""red"", ""x""]"\na,b,c,d,e\nonly,two\n"x\ny",1,2,\n'
+LINES = (
+    '{"query": null, "Query": "alt", "attributes": [1.0, 2.50, 1e3, ["x"], 3, 0, true], "query_id": 7}\n'
+    '{"query": "b", "attributes": "[\'a\']", "price": 2.50}\n{bad\n'
+)
+
+
+def test_csv_folder_checks_headers(spark, tmp_path):
+    same = _file(tmp_path / "same", "1.csv", CELLS)
+    _file(tmp_path / "same", "2.csv", "query,product_type,brand,attributes\nz,z,z,z\n")
+    rows = read_queries(spark, same, "csv").collect()
+    assert [r.error for r in rows if r.error] == ["more than 4 cells: a,b,c,d,e"]
+    assert sorted(r["query"] for r in rows) == ["a", "only", "red shoe", "x\ny", "z"]
+    other = _file(tmp_path / "other", "1.csv", "query,brand\na,b\n")
+    _file(tmp_path / "other", "2.csv", "brand,query\nb,a\n")
+    with pytest.raises(Exception, match="CSV header does not conform|FAILED_READ_FILE"):
+        read_queries(spark, other, "csv").collect()
+    twins = _file(tmp_path / "twins", "1.csv", "Query,query,QUERY,x\n1,2,3,4\n")
+    assert read_queries(spark, twins, "csv").first().asDict() == {"Query.1": "1", "query": "2", "QUERY.2": "3", "x": "4", "error": None}
+    _file(tmp_path / "twins", "2.csv", "Query,query,QUERY,x\n1,2,3,4\n")
+    with pytest.raises(ValueError, match="column names repeat"):
+        read_queries(spark, twins, "csv")
+
+
+def test_json_fields_and_numbers(spark, tmp_path):
+    path = _file(tmp_path / "in", "1.json", LINES)
+    rows = read_queries(spark, path, "json")
+    assert [(r["query"], r.query_id, r.price, (r.error or "")[:8]) for r in rows.drop("attributes").collect()] == [
+        (None, "7", None, ""), ("b", None, "2.5", ""), (None, None, None, "not JSON")]
+    assert label_queries(rows).first().attributes == ["1. 0", "2. 5", "1000. 0", "['x']", "3", "True"]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_text_streams_equal_batches(spark, tmp_path, fmt):
+    text = CELLS if fmt == "csv" else LINES
+    path = _file(tmp_path / "in", f"1.{fmt}", text)
+    _file(tmp_path / "in", f"2.{fmt}", text.replace("red shoe", "blue shoe").replace('"b"', '"c"'))
+    target = str(tmp_path / "out")
+    counts = label_job.run_stream(spark, path, target, str(tmp_path / "checkpoint"), fmt, "parquet", maxFilesPerTrigger=1)
+    batch = label_queries(read_queries(spark, path, fmt)).select(*OUTPUT_COLUMNS).collect()
+    streamed = spark.read.parquet(target).select(*OUTPUT_COLUMNS).collect()
+    assert sorted(map(str, batch)) == sorted(map(str, streamed))
+    assert (counts["rows_read"], counts["errors"]) == (len(batch), 2)
+
+
+def test_failed_rows_are_not_scored(spark, tmp_path):
+    path = _file(tmp_path / "in", "1.csv", "query,brand,attributes,product_type\nred bolt,red,\"['bolt']\",bolt\na,b,['x','y'],c\n")
+    scores = evaluate_job.run(spark, path, str(tmp_path / "out"), fmt="csv").first()
+    assert scores.brand_precision == 1.0
+    assert spark.read.json(str(tmp_path / "out" / "counters.json")).first().asDict() == {"rows_read": 2, "errors": 1}
+    assert "error" in spark.read.csv(str(tmp_path / "out" / "predictions.csv"), header=True).columns
+
+
+def test_train_job_writes_its_report(spark, log, tmp_path):
+    label_job.label_table(log, str(tmp_path / "in.parquet"))
+    train_job.run(spark, str(tmp_path / "in.parquet"), str(tmp_path / "model"), max_iter=3, buckets=1 << 10)
+    assert spark.read.parquet(str(tmp_path / "model" / "report" / "tags")).where("label = 'accuracy'").count() == 1
+    assert spark.read.parquet(str(tmp_path / "model" / "report" / "objective")).count() > 1
+    with pytest.raises(Exception, match="unknown tag"):
+        tag_vocabulary(spark.createDataFrame([(["S-Colour"],)], "bioes_tags array<string>")).collect()
+
+
+def test_decoding_keeps_any_token(spark):
+    row = ["a\x1db", None, "c\x1fd"], ["B-Brand", "I-Brand", "E-Brand"]
+    df = spark.createDataFrame([row], "tokens array<string>, bioes_tags array<string>")
+    assert decode_slots(df).first().brand_pred == "a\x1db  c\x1fd"
+
+
+def test_queries_read_and_compute_once(spark):
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    for name in ("E8_decode_ids", "F3_align_labels", "F2_vocabulary"):
+        assert plan(QUERIES[name](spark, FOLDER)).count("Relation [") == 1, name
+    assert "augmented_query" not in plan(QUERIES["tag_distribution"](spark, FOLDER))
+
+
+def test_scratch_needs_a_shared_folder():
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+
+        class conf:
+            get = staticmethod(lambda name, default=None: default)
+
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        scratch_path(Cluster)
