@@ -81,7 +81,7 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     def joined(spans: str) -> Column:
         return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)))
 
-    counts = [F.size(F.filter("base", lambda s, k=kind: s.kind == k)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{kind}')) as long)").alias(f"n_{kind}") for kind in pii.KINDS]
     return pii.detect(_table(spark, folder, "documents")).select(
         "doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("found").alias("spans"))
 
