@@ -114,7 +114,7 @@ class Encoder:
         lead = np.flatnonzero((data & 0xC0) != 0x80)
         begins = boundaries(points, np.searchsorted(lead, offsets))
         start = lead[begins]
-        end = np.append(start[1:], len(data))
+        end = np.append(start, len(data))[1:]
         spans = [whole[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
         number, fresh = self._number, []
         for s in dict.fromkeys(spans):

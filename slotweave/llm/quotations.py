@@ -28,6 +28,9 @@ _WORDS = re.compile(r"[^\W_]+")
 _ANNOUNCES = re.compile(r"(?:On|Am|Le|El)\b.*\b(?:wrote|schrieb|a écrit|escribió)[^:]*:\s*")
 
 
+_RESULTS = ("own_text", "own_keys", "quoted", "reply_to", "thread", "depth", "n_quotes", "n_linked")
+
+
 class Message(NamedTuple):
     """Own text; keys of the own text and its parts; quoted passages as (level, key)."""
 
@@ -74,8 +77,11 @@ def parse(text: str) -> Message:
 
 
 def parsed_messages(messages: DataFrame, text: str = "text") -> DataFrame:
-    """All columns but the text, then ``own_text``, ``own_keys`` and ``quoted``; a null text is an empty one."""
-    others = [c for c in messages.columns if c not in (text, "own_text", "own_keys", "quoted")]
+    """All columns but the text, then ``own_text``, ``own_keys`` and ``quoted``; a null text is an empty one.
+
+    Columns that have the name of one of the results give way to it.
+    """
+    others = [c for c in messages.columns if c not in (text, *_RESULTS)]
     pairs = pa.list_(pa.struct([("level", pa.int32()), ("key", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,6 +141,5 @@ def conversations(messages: DataFrame) -> DataFrame:
     parsed = written(parsed_messages(messages), "messages")
     found = threads(links(parsed))
     return parsed.join(found, ["conv_id", "turn"], "left").select(
-        *(c for c in parsed.columns if c not in ("own_text", "own_keys", "quoted", "reply_to", "thread", "depth")),
-        "reply_to", F.coalesce("thread", "turn").alias("thread"), F.coalesce("depth", F.lit(0)).alias("depth"),
+        *(f"`{c}`" for c in parsed.columns if c not in _RESULTS), "reply_to", F.coalesce("thread", "turn").alias("thread"), F.coalesce("depth", F.lit(0)).alias("depth"),
         F.size("quoted").cast("long").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"), "own_text")
