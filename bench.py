@@ -8,10 +8,13 @@ import sys
 import time
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from slotweave.operators.labeling import label_queries  # noqa: E402
 from slotweave.plans.queries import QUERIES  # noqa: E402
+from slotweave.plans.query_log import query_log  # noqa: E402
 
 HEADLINES = (
     "tag_distribution", "B1_clean_documents", "B2_tokenize_conversations", "B3_parse_attribute_mix",
@@ -19,6 +22,8 @@ HEADLINES = (
     "D1_decode_entities", "E5_metric_pack",
 )
 RUNS = 2
+#: The throughput figure: the part table this many times over with distinct keys, every row labelled and used.
+COPIES = 50
 
 
 def main() -> None:
@@ -33,20 +38,28 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    seconds = {}
+    seconds, building = {}, {}
     for name in HEADLINES:
         best = None
         for _ in range(RUNS):
             start = time.perf_counter()
-            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-            elapsed = time.perf_counter() - start
-            best = elapsed if best is None else min(best, elapsed)
-        seconds[name] = round(best, 3)
-    rows = spark.read.parquet(f"{folder}/part.parquet").count()
+            df = QUERIES[name](spark, folder)
+            built = time.perf_counter() - start
+            df.write.format("noop").mode("overwrite").save()
+            best = min(best or (1e9, 0), (time.perf_counter() - start, built))
+        seconds[name], building[name] = (round(x, 3) for x in best)
+    part = spark.read.parquet(f"{folder}/part.parquet")
+    rows = part.count() * COPIES
+    copy = F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))).alias("copy")
+    many = part.select("*", copy).withColumn("p_partkey", F.col("p_partkey") * COPIES + F.col("copy")).drop("copy")
+    labelled = label_queries(query_log(spark, many.repartition(4 * int(cpus))), keep=("query_id",))
+    start = time.perf_counter()
+    labelled.write.format("noop").mode("overwrite").save()
+    labelling = time.perf_counter() - start
     print(json.dumps({
         "metric": "total of the headline queries, best of 2", "value": round(sum(seconds.values()), 3),
         "unit": "sec", "queries": seconds, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
-        "labelled_rows_per_sec": round(rows / seconds["C6_label_query_log"]),
+        "plan_building_sec": building, "labelled_rows": rows, "labelled_rows_per_sec": round(rows / labelling),
     }))
     spark.stop()
 
