@@ -102,7 +102,9 @@ def fuzzy_offset(cells: Column, words: Column) -> Column:
         hits = F.size(F.filter(F.zip_with(run, words, lambda a, b: a == b), lambda same: same))
         return free & (hits * 5 >= size * 4)
 
-    starts = F.when(length >= size, F.sequence(F.lit(0), length - size)).otherwise(
+    # Where fewer than 80 % of the words occur at all, no place needs a look.
+    present = F.size(F.filter(words, lambda word: F.array_contains(cells, word)))
+    starts = F.when((length >= size) & (present * 5 >= size * 4), F.sequence(F.lit(0), length - size)).otherwise(
         F.array().cast("array<int>")
     )
     return F.get(F.filter(starts, fits), F.lit(0))
