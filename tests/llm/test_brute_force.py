@@ -274,6 +274,22 @@ def test_op6_chains_and_groups(spark):
     assert got == classes_by_brute_force(rows)
 
 
+def test_op6_family_beside_a_hot_bucket(spark):
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(5000)]
+    passage, rest = rng.choices(words, k=200), rng.choices(words, k=100)
+    rows = {0: " ".join(passage + rest)}
+    for k in range(1, 61):  # near the original, not near each other
+        copy = list(rest)
+        for at in rng.sample(range(100), 6):
+            copy[at] = f"e{k}x{at}"
+        rows[k] = " ".join(passage + copy)
+    for k in range(61, 461):  # unrelated but for the passage
+        rows[k] = " ".join(passage + rng.choices(words, k=100))
+    table = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_duplicates.classes(table).collect()} == classes_by_brute_force(rows)
+
+
 def test_op9(spark, texts):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
