@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from slotweave.llm import (
     byte_bpe,
+    fill_in_middle,
     fingerprints,
     license_scan,
     near_duplicates,
@@ -16,9 +17,12 @@ from slotweave.llm import (
     quality_model,
     quotations,
     toxicity_model,
+    url_filters,
     weak_supervision,
+    whitening,
 )
 from slotweave.llm.labelled import remainder
+from slotweave.llm.oracles import FILL_IN_MIDDLE_SQL, URL_FILTER_SQL
 from slotweave.llm.shared import written
 
 
@@ -107,6 +111,32 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document cut and put in another order, and what is restored from that."""
+    output, form = F.col("output"), F.col("form")
+    return fill_in_middle.transform(_table(spark, folder, "documents")).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(output, 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(output, form), 256).alias("restored_sha256"))
+
+
+def op12_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict on every page's URL, with the rule or the terms that lead to it."""
+    return url_filters.judge(_table(spark, folder, "pages")).drop("n_hits")
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The first eight whitened components of every embedding; ``deviation`` is null where it needs more than 64 bits."""
+    rows = whitening.usable(_table(spark, folder, "embeddings"))
+    model = whitening.fit(rows)
+    if model is None:
+        return spark.createDataFrame(
+            [], "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double")
+    error = whitening.identity_error(rows, model)
+    return whitening.whiten(rows, model).select(
+        "vec_id", "component", F.lit(model.rows).cast("long").alias("n"), F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened", "explained", F.lit(error).alias("identity_error"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_fingerprints": op2_fingerprints,
@@ -118,5 +148,11 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_packing": op10_packing,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_url_filters": op12_url_filters,
+    "op13_whitening": op13_whitening,
+}
+ORACLES = {
+    "op11_fill_in_middle": FILL_IN_MIDDLE_SQL,
+    "op12_url_filters": URL_FILTER_SQL,
 }
-ORACLES: dict[str, str] = {}
