@@ -120,6 +120,25 @@ def tag_pairs(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     return df.select(F.inline(pairs))
 
 
+def span_report(df: DataFrame, truth: str, predicted: str) -> DataFrame:
+    """Precision, recall and F1 over whole well-formed spans, and their number, as one row.
+
+    A span is right if places and type are. Each row's arrays are read as one line of tags with their places, in which a
+    pattern finds the spans.
+    """
+
+    def spans(tags: str) -> Column:
+        cells = F.transform(tags, lambda tag, k: F.concat(F.lit(" "), F.coalesce(tag, F.lit("O")), F.lit("@"), k.cast("string")))
+        pattern = r" (?:S-\S+|B-([^@\s]+)@\d+(?: I-\1@\d+)*+ E-\1@\d+)"
+        return F.regexp_extract_all(F.array_join(cells, ""), F.lit(pattern), F.lit(0))
+
+    rows = df.select(spans(truth).alias("true"), spans(predicted).alias("found"))
+    hits, expected, found = F.sum(F.size(F.array_intersect("true", "found"))), F.sum(F.size("true")), F.sum(F.size("found"))
+    return rows.agg(
+        _ratio(hits, found).alias("precision"), _ratio(hits, expected).alias("recall"),
+        _ratio(2 * hits, found + expected).alias("f1"), F.coalesce(expected, F.lit(0).cast("bigint")).alias("support"))
+
+
 def classification_report(pairs: DataFrame, truth: str = "truth", predicted: str = "predicted") -> DataFrame:
     """Precision, recall, F1 and support per label, then accuracy, macro and weighted averages.
 

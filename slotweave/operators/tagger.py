@@ -91,12 +91,13 @@ class Tagger:
         self.pipeline, self.tags, self.buckets = pipeline, tags, buckets
         self.history = list(history)  # the objective after each iteration; not saved
 
-    def save(self, path: str) -> None:
-        """Write the pipeline and, as Parquet, the vocabulary."""
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+    def save(self, path: str, mode: str = "error") -> None:
+        """Write the pipeline and, as Parquet, the vocabulary; ``mode`` is "error" or "overwrite"."""
+        writer = self.pipeline.write()
+        (writer.overwrite() if mode == "overwrite" else writer).save(f"{path}/pipeline")
         spark = SparkSession.active()
         rows = [(tag, tag_id, self.buckets) for tag_id, tag in enumerate(self.tags)]
-        spark.createDataFrame(rows, "tag string, tag_id int, buckets int").write.mode("overwrite").parquet(f"{path}/vocabulary")
+        spark.createDataFrame(rows, "tag string, tag_id int, buckets int").write.mode(mode).parquet(f"{path}/vocabulary")
 
     @staticmethod
     def load(path: str) -> Tagger:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotweave.operators.columns import ERROR
+from slotweave.operators.chain_tagger import load_tagger
 from slotweave.operators.decoding import SLOT_COLUMNS, decode_slots
 from slotweave.operators.labeling import label_queries
 from slotweave.operators.metrics import slot_scores
@@ -58,7 +59,7 @@ def run(spark: SparkSession, source: str, target: str, model: str | None = None,
         test = test.withColumn(ERROR, F.lit(None).cast("string"))
     tagged = f"{scratch_path(spark)}/tagged"
     counters = Observation("rows")
-    predict_slots(test, Tagger.load(model) if model else None).observe(
+    predict_slots(test, load_tagger(model) if model else None).observe(
         counters, F.count(F.lit(1)).alias("rows_read"), F.count(ERROR).alias("errors")).write.parquet(tagged)
     predictions = spark.read.parquet(tagged)
     write_predictions(predictions, f"{target}/predictions.csv", mode)

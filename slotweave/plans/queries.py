@@ -15,6 +15,7 @@ from slotweave.functions.spans import (
 )
 from slotweave.functions.text import clean_text, is_brand_in_query, split_line, token_line, tokenize_query
 from slotweave.operators import metrics, training_data
+from slotweave.operators.chain_tagger import ChainTagger, load_tagger, train_chain
 from slotweave.operators.columns import normalize_columns
 from slotweave.operators.decoding import SLOT_COLUMNS, decode_slots, leaderboard
 from slotweave.operators.labeling import label_queries
@@ -416,6 +417,35 @@ def tag_unseen(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _chain(spark: SparkSession, training: DataFrame) -> ChainTagger:
+    """A chain tagger; a tenth of the training queries chooses the pass."""
+    rest, chosen = training_data.train_validation_split(training, percent=10, seed=1)
+    return train_chain(rest, scratch_path(spark), chosen, passes=10)
+
+
+def chain_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Precision, recall and F1 on unseen queries, per tag and of whole spans, of the independent and the chain tagger."""
+    training, validation = _sides(spark, folder)
+    reports = []
+    for model, tagger in (("independent", train_tagger(training, max_iter=15)), ("chain", _chain(spark, training))):
+        tagged = tagger.tag_tokens(validation.select("tokens", "bioes_tags"), output="predicted")
+        spans = metrics.span_report(tagged, "bioes_tags", "predicted").select(F.lit("span").alias("label"), "precision", "recall", "f1", "support")
+        tags = validation_report(tagger, validation).select("label", "precision", "recall", "f1", "support")
+        reports.append(tags.unionByName(spans).select(F.lit(model).alias("model"), "*"))
+    return reports[0].unionByName(reports[1])
+
+
+def chain_unseen(spark: SparkSession, folder: str) -> DataFrame:
+    """Tags and slots of unseen raw queries by the chain tagger; none of them breaks the BIOES rules."""
+    path = scratch_path(spark)
+    training, validation = _sides(spark, folder)
+    _chain(spark, training).save(path)
+    tagged = load_tagger(path).tag_queries(validation.select("query_id", "query"))
+    return decode_slots(tagged).select(
+        "query_id", "query", _joined("tokens", " ").alias("tokens"), _joined("bioes_tags", " ").alias("bioes_tags"),
+        "brand_pred", _joined("attributes_pred").alias("attributes_pred"), "product_type_pred")
+
+
 # Sources and sinks (A)
 
 
@@ -663,6 +693,8 @@ QUERIES = {
     "F2_vocabulary": vocabulary,
     "F3_align_labels": align_labels,
     "F4_train_and_report": train_and_report,
+    "F4_chain_report": chain_report,
     "F5_A12_tag_unseen": tag_unseen,
+    "F5_chain_unseen": chain_unseen,
     "G1_counters": counters,
 }
