@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotweave.functions.spans import TAGS
+from slotweave.functions.subwords import Vocabulary, subwords
+from slotweave.operators.fence import fence
 from slotweave.operators.metrics import IGNORED_LABEL
 
 MAX_LENGTH = 128
@@ -79,3 +81,31 @@ def align_labels(word_ids: Column, word_labels: Column, max_length: int = MAX_LE
 
     cut = F.slice(F.transform(word_ids, label), 1, max_length)
     return F.concat(cut, F.array_repeat(ignored, max_length - F.size(cut)))
+
+
+def model_inputs(
+    df: DataFrame, vocabulary: Vocabulary, tokens: str = "tokens", labels: str = "tag_ids", max_length: int = MAX_LENGTH, **normal,
+) -> DataFrame:
+    """Add ``input_ids``, ``attention_mask``, ``word_ids`` and ``labels`` of ``max_length`` sub-words, and ``n_pieces`` before the cut.
+
+    The special pieces of the vocabulary begin and end each row, also a cut one; padding follows. A word's first piece
+    has its label, all else is ignored. ``normal`` are options of ``subwords``.
+    """
+    kept = [name for name in df.columns if name not in ("input_ids", "attention_mask", "word_ids", "labels", "n_pieces")]
+    begin, end = (F.array(*([F.lit(i)] if i is not None else [])).cast("array<int>") for i in (vocabulary.begin, vocabulary.end))
+    none = F.lit(None).cast("int")
+    nothing = [F.array_repeat(none, int(i is not None)) for i in (vocabulary.begin, vocabulary.end)]
+    room = max_length - sum(i is not None for i in (vocabulary.begin, vocabulary.end))
+    pieces = fence(df.select("*", subwords(F.col(tokens), vocabulary, **normal).alias("_pieces")), "_pieces")
+    cut = pieces.select(
+        "*", F.slice("_pieces.ids", 1, room).alias("_ids"), F.slice("_pieces.word_ids", 1, room).alias("_words"))
+    ids = F.concat(begin, F.col("_ids"), end)
+    words = F.concat(nothing[0], F.col("_words"), nothing[1])
+    rest = max_length - F.size(ids)
+    return cut.select(
+        *kept, F.concat(ids, F.array_repeat(F.lit(vocabulary.pad), rest)).alias("input_ids"),
+        F.concat(F.array_repeat(F.lit(1), F.size(ids)), F.array_repeat(F.lit(0), rest)).alias("attention_mask"),
+        F.concat(words, F.array_repeat(none, rest)).alias("word_ids"),
+        align_labels(words, F.col(labels), max_length).alias("labels"),
+        F.size("_pieces.ids").cast("bigint").alias("n_pieces"),
+    )

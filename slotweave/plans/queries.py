@@ -5,6 +5,7 @@ Arrays are returned as joined text, so that results compare by value in any engi
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from slotweave.functions.entities import extract_entities
 from slotweave.functions.spans import (
     TAGS, apply_bioes_tags, encode_span, entity_line, exact_offset, fuzzy_offset, padded,
 )
+from slotweave.functions.subwords import read_vocabulary
 from slotweave.functions.text import clean_text, is_brand_in_query, split_line, token_line, tokenize_query
 from slotweave.operators import metrics, training_data
 from slotweave.operators.chain_tagger import ChainTagger, load_tagger, train_chain
@@ -379,6 +381,17 @@ def align_labels(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", _joined(aligned, " ").alias("labels"), cut.alias("n_cut"))
 
 
+def subword_inputs(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids, mask and labels of the sub-words of whole documents, by longest match in a public vocabulary."""
+    vocabulary = read_vocabulary(spark, public_tokenizers.path("word_bpe_49k.json"))
+    ids = training_data.encode_tags(_labelled_documents(spark, folder), training_data.closed_vocabulary(spark))
+    inputs = training_data.model_inputs(ids.select("doc_id", "tokens", "tag_ids"), vocabulary)
+    return inputs.select(
+        "doc_id", _joined("input_ids", " ").alias("input_ids"), _joined("labels", " ").alias("labels"),
+        F.aggregate("attention_mask", F.lit(0), lambda a, b: a + b).cast("bigint").alias("n_used"), "n_pieces",
+        F.md5(_joined(F.transform("word_ids", lambda w: F.coalesce(w, F.lit(-1))), " ")).alias("words_digest"))
+
+
 def _sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Labelled queries of both sides of the split, written once: the fit passes over its side many times."""
     path = scratch_path(spark)
@@ -692,6 +705,7 @@ QUERIES = {
     "F1_split_rows": split_rows,
     "F2_vocabulary": vocabulary,
     "F3_align_labels": align_labels,
+    "F3_subword_inputs": subword_inputs,
     "F4_train_and_report": train_and_report,
     "F4_chain_report": chain_report,
     "F5_A12_tag_unseen": tag_unseen,
