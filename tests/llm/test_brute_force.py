@@ -290,6 +290,26 @@ def test_op6_family_beside_a_hot_bucket(spark):
     assert {r.doc_id: r.class_id for r in near_duplicates.classes(table).collect()} == classes_by_brute_force(rows)
 
 
+def test_forests_join_each_pair_of_trees_once():
+    rng = np.random.default_rng(6)
+    for _ in range(50):
+        n = int(rng.integers(1, 30))
+        label = rng.integers(0, 8, n)
+        near = np.triu(rng.integers(0, 128, (n, n)) * (rng.random((n, n)) < 0.3), 1)
+        near = near + near.T
+        near[label[:, None] == label] = 0
+        pairs = near_duplicates._forest(near, label)
+        assert len(pairs) < max(len(set(label.tolist())), 1)
+        def trees(links):
+            tree = {v: v for v in set(label.tolist())}
+            for a, b in links:
+                x, y = tree[label[a]], tree[label[b]]
+                tree = {v: y if t == x else t for v, t in tree.items()}
+            return {frozenset(v for v in tree if tree[v] == t) for t in set(tree.values())}
+        assert trees(pairs) == trees(zip(*np.nonzero(near)))
+        assert all(near[a, b] >= near[c, d] for (a, b), (c, d) in zip(pairs, pairs[1:]))
+
+
 def test_op9(spark, texts):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
