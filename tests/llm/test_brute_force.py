@@ -298,7 +298,7 @@ def test_forests_join_each_pair_of_trees_once():
         near = np.triu(rng.integers(0, 128, (n, n)) * (rng.random((n, n)) < 0.3), 1)
         near = near + near.T
         near[label[:, None] == label] = 0
-        pairs = near_duplicates._forest(near, label)
+        pairs = near_duplicates._forests(near, label, 1)
         assert len(pairs) < max(len(set(label.tolist())), 1)
         def trees(links):
             tree = {v: v for v in set(label.tolist())}
@@ -308,6 +308,11 @@ def test_forests_join_each_pair_of_trees_once():
             return {frozenset(v for v in tree if tree[v] == t) for t in set(tree.values())}
         assert trees(pairs) == trees(zip(*np.nonzero(near)))
         assert all(near[a, b] >= near[c, d] for (a, b), (c, d) in zip(pairs, pairs[1:]))
+        three, rest = near_duplicates._forests(near, label, 3), near.copy()
+        assert three[:len(pairs)] == pairs and len(set(three)) == len(three)
+        for a, b in pairs:
+            rest[a, b] = rest[b, a] = 0
+        assert near_duplicates._forests(rest, label, 2) == three[len(pairs):]
 
 
 def test_op9(spark, texts):
