@@ -18,6 +18,7 @@ from __future__ import annotations
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -85,6 +86,13 @@ def sentence_ends(tokenizer: WordTokenizer) -> np.ndarray:
     return out
 
 
+@cache
+def _encoder(path: str) -> tuple[WordTokenizer, np.ndarray]:
+    """Tokenizer and sentence ends, one of each per Python worker: the words met in one task serve the next."""
+    tokenizer = WordTokenizer(path)
+    return tokenizer, sentence_ends(tokenizer)
+
+
 def pack_block(ids: np.ndarray, starts: np.ndarray, ends_sentence: np.ndarray) -> dict[str, np.ndarray]:
     """Pieces of a block; ``starts`` are the documents' first ids and the block's length."""
     place, cost = places(len(ids), starts[1:], np.flatnonzero(ends_sentence[ids]) + 1)
@@ -112,8 +120,7 @@ def pack(docs: DataFrame, tokenizer_path: str, text: str = "text") -> DataFrame:
     numbers = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(tokenizer_path)
-        ends_sentence = sentence_ends(tokenizer)
+        tokenizer, ends_sentence = _encoder(tokenizer_path)
         sequences = TaskContext.get().partitionId() << 32
         held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
 

@@ -393,6 +393,21 @@ def test_texts_beyond_latin_are_tokenised_whole():
         assert ids[starts[k]:starts[k + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_pieces_of_random_strings_with_a_small_table():
+    from slotweave.llm.word_tokens import WordTokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain, mine = Tokenizer.from_file(path), WordTokenizer(path, 300)
+    plain.encode_special_tokens = True
+    rng = random.Random(0)
+    parts = ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d", "'", "a", "B", "É", "ß", "1", "²", "½", " ", "\n", "\t", "!", ".", "''", "l", "e",
+             "r", "ſ", "ŉ", "·", "ª", "x" * 70, "日", "\x0b", "Ĳ", "$$", "~"]
+    for _ in range(100):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(rng.randint(0, 12))]
+        ids, starts = mine.encode(texts)
+        for k, text in enumerate(texts):
+            assert ids[starts[k]:starts[k + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_op7_rows(spark):
     table = spark.read.parquet(f"{FOLDER}/conversations.parquet")
     rows = {(r.conv_id, r.turn): r for r in QUERIES["op7_quotation_linking"](spark, FOLDER).collect()}
