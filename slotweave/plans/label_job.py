@@ -6,12 +6,15 @@ import argparse
 import time
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from slotweave.operators.chain_tagger import exists
 from slotweave.operators.columns import ERROR
 from slotweave.operators.labeling import label_queries
-from slotweave.sources.readers import add_reader_options, format_of, read_csv, read_json, read_queries, reader_options
+from slotweave.sources.readers import (
+    add_reader_options, format_of, read_csv, read_json, read_labelled, read_queries, reader_options,
+)
 from slotweave.sources.writers import write_table
 from slotweave.streaming.label_stream import label_stream, query_stream
 
@@ -56,24 +59,40 @@ def run(
     return label_table(df, target, target_format, mode, keep)
 
 
+def sink_files(spark: SparkSession, path: str, fmt: str) -> set[str]:
+    """Files of a stream's sink that are committed; none before the first run."""
+    if not exists(spark, path):
+        return set()
+    return set(spark.read.schema("error string").format(fmt).load(path).inputFiles())
+
+
+def written_counts(spark: SparkSession, files: set[str], fmt: str) -> dict[str, int]:
+    """The counters of labelled rows, read back from the files that hold them."""
+    paths = sorted(files)
+    if not paths:
+        return spark.createDataFrame([], "tokens array<string>, error string").agg(*job_counters()).first().asDict()
+    rows = spark.read.parquet(*paths) if fmt == "parquet" else read_labelled(spark, paths, fmt)
+    return rows.agg(*job_counters()).first().asDict()
+
+
 def run_stream(
     spark: SparkSession, source: str, target: str, checkpoint: str, source_format: str | None = None,
     target_format: str | None = None, keep: tuple[str, ...] = (), **options,
 ) -> dict:
-    """Label the files at ``source`` that the checkpoint does not know yet, append them, and return the summed counters."""
-    fmt = format_of(source, source_format)
+    """Label the files at ``source`` that the checkpoint does not know yet, append them, and return their counters.
+
+    The counters are those of the rows in the files that this run committed, read back from the sink: exact for any
+    number of micro-batches, and for one that an earlier run left unfinished or the sink had already.
+    """
+    fmt, target_fmt = format_of(source, source_format), format_of(target, target_format)
     if fmt == "parquet":
         rows = query_stream(spark, source, spark.read.parquet(source).schema, **options)
     else:
         reader = read_csv if fmt == "csv" else partial(read_json, further=keep)
         rows = reader(spark, source, stream=True, **options)
-    query = label_stream(rows, target, checkpoint, target_format, keep, counters=job_counters())
-    query.awaitTermination()
-    totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        for name, count in (progress.observedMetrics.get("labelling") or Row()).asDict().items():
-            totals[name] = totals.get(name, 0) + count
-    return totals
+    before = sink_files(spark, target, target_fmt)
+    label_stream(rows, target, checkpoint, target_fmt, keep).awaitTermination()
+    return written_counts(spark, sink_files(spark, target, target_fmt) - before, target_fmt)
 
 
 def main(arguments: list[str] | None = None) -> None:

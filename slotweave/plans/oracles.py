@@ -242,6 +242,12 @@ _UNSEEN = (
     f"where {bucket(0, 'src.query')} < 20)"
 )
 
+_COUNTERS = (
+    f"with t as (select len({tokens(clean('text'))}) as n from documents union all select 0 from documents) "
+    "select count(*) as rows_read, cast(0 as bigint) as errors, count(*) filter (n = 0) as rows_without_tokens, "
+    "count(*) filter (n > 0) as rows_processed from t"
+)
+
 ORACLES = {
     "tag_distribution": f"{LABELLED} select tag, count(*) as n_tokens from (select unnest(bioes_tags) as tag from res) group by tag",
     "A1_csv_source": f"select query_id, replace(query, ' ', chr(10)) as query, brand, attributes, product_type from ({LOG})",
@@ -323,6 +329,6 @@ labs as (select doc_id, [-100] || flatten(list_transform(range(1, len(tokens) +
 select doc_id, {joined('(l || list_transform(range(128), lambda z: -100))[1:128]', ' ')} as labels, greatest(len(l) - 128, 0) as n_cut from labs""",
     "F4_train_and_report": f"{_UNSEEN} select g as label, count(*) as support, true as found from (select unnest(bioes_tags) as g from unseen) group by g",
     "F5_A12_tag_unseen": f"{_UNSEEN} select query_id, len({tokens('query')}) as n_tokens, len({tokens('query')}) as n_tags, true as all_known, true as same_after_loading from unseen",
-    "G1_counters": f"""with t as (select len({tokens(clean('text'))}) as n from documents union all select 0 from documents)
-select count(*) as rows_read, cast(0 as bigint) as errors, count(*) filter (n = 0) as rows_without_tokens, count(*) filter (n > 0) as rows_processed from t""",
+    "G1_counters": _COUNTERS,
+    "G1_stream_totals": _COUNTERS,
 }

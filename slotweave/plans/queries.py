@@ -24,7 +24,7 @@ from slotweave.operators.labeling import label_queries
 from slotweave.operators.tagger import Tagger, train_tagger
 from slotweave.plans import evaluate_job
 from slotweave.plans.evaluate_job import predict_slots
-from slotweave.plans.label_job import job_counters, label_table
+from slotweave.plans.label_job import job_counters, label_table, run_stream
 from slotweave.plans.query_log import query_log
 from slotweave.plans.scratch import scratch_path
 from slotweave.plans.train_job import validation_report
@@ -651,6 +651,21 @@ def counters(spark: SparkSession, folder: str) -> DataFrame:
     return label_queries(documents).agg(*job_counters())
 
 
+def stream_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Counters of a stream over whole documents, each with a blank row beside it, in several runs of several batches."""
+    path = scratch_path(spark)
+    documents = _table(spark, folder, "documents").select(
+        "doc_id", F.explode(F.array("text", F.lit(" "))).alias("query"), F.col("source").alias("brand"))
+    runs = []
+    for part in range(2):
+        rows = documents.where(F.pmod("doc_id", F.lit(2)) == part).drop("doc_id")
+        rows.repartition(4, "query").write.mode("append").parquet(f"{path}/source.parquet")
+        runs.append(run_stream(spark, f"{path}/source.parquet", f"{path}/labelled.parquet", f"{path}/checkpoint", maxFilesPerTrigger=1))
+    names = list(runs[0])
+    totals = spark.createDataFrame([[run[name] for name in names] for run in runs], ", ".join(f"{name} bigint" for name in names))
+    return totals.agg(*(F.sum(name).alias(name) for name in names))
+
+
 QUERIES = {
     "tag_distribution": tag_distribution,
     "A1_csv_source": csv_source,
@@ -711,4 +726,5 @@ QUERIES = {
     "F5_A12_tag_unseen": tag_unseen,
     "F5_chain_unseen": chain_unseen,
     "G1_counters": counters,
+    "G1_stream_totals": stream_totals,
 }
