@@ -255,6 +255,8 @@ ORACLES = {
     "A3_column_names": "select p_partkey, p_name as query, cast(p_size as varchar) as brand, '' as product_type, '' as attributes from part",
     "A4_missing_texts": "select p_partkey, ['nil', 'none', '0'][p_partkey % 22 - 18] as cell from part where p_partkey % 22 >= 19 "
                         "union all select p_partkey, null from part where p_partkey % 22 < 19",
+    "A1_csv_split": f"select query_id, replace(query, ' ', concat(chr(10), '\"')) as query, brand, attributes, product_type from ({LOG})",
+    "A1_csv_headers": f"select query_id, query, case when query_id % 3 < 2 then brand end as brand, attributes, product_type, case when query_id % 3 = 1 then 'é' end as extra, cast(null as varchar) as error from ({LOG})",
     "A1_csv_folder": with_failures(LABELLED, lost=False),
     "A5_stream_csv": with_failures(LABELLED, lost=False),
     "A5_stream_json": with_failures(labelled(LOG, _JSON_ATTRIBUTES), lost=True),

@@ -475,6 +475,28 @@ def csv_source(spark: SparkSession, folder: str) -> DataFrame:
     return df.select(F.col("query_id").cast("bigint").alias("query_id"), "query", "brand", "attributes", "product_type")
 
 
+def csv_split(spark: SparkSession, folder: str) -> DataFrame:
+    """The query log, with line breaks and quotes in its cells, from one CSV file that many tasks read."""
+    path = f"{scratch_path(spark)}/log.csv"
+    log = _log(spark, folder).withColumn("query", F.replace("query", F.lit(" "), F.lit('\n"')))
+    writers.write_table(log.coalesce(1), path)
+    df = readers.read_queries(spark, path, by_name=True)
+    return df.select(F.col("query_id").cast("bigint").alias("query_id"), "query", "brand", "attributes", "product_type")
+
+
+def csv_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """The query log from files that differ in the order and names of their columns, one of them not in UTF-8."""
+    path = scratch_path(spark)
+    log = _log(spark, folder).withColumns({"Brand": "brand", "extra": F.lit("é")})
+    orders = (("query_id", "query", "brand", "attributes", "product_type"), ("product_type", "Query", "query_id", "attributes", "Brand", "extra"),
+              ("attributes", "query_id", "Product_type", "query"))
+    for number, names in enumerate(orders):
+        rows = log.where(F.pmod("query_id", F.lit(3)) == number).select(*(F.col(name).alias(name) for name in names))
+        rows.write.options(**writers.CSV_OPTIONS, encoding="ISO-8859-1" if number == 1 else "UTF-8").mode("append").csv(f"{path}/log.csv")
+    df = readers.read_queries(spark, f"{path}/log.csv", by_name=True)
+    return df.select(F.col("query_id").cast("bigint").alias("query_id"), "query", "brand", "attributes", "product_type", "extra", "error")
+
+
 def _json_lines(spark: SparkSession, folder: str, malformed: bool) -> str:
     """The query log as JSON lines in several files: attributes are a list in one row and text in the next."""
     path = f"{scratch_path(spark)}/log.json"
@@ -673,6 +695,8 @@ QUERIES = {
     "A3_column_names": column_names,
     "A4_missing_texts": missing_texts,
     "A1_csv_folder": csv_folder,
+    "A1_csv_split": csv_split,
+    "A1_csv_headers": csv_headers,
     "A5_stream_labelling": stream_labelling,
     "A5_stream_csv": stream_csv,
     "A5_stream_json": stream_json,

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import DataStreamReader
 
 from slotweave.functions.attributes import number_text
 from slotweave.operators.columns import ALTERNATE_NAMES, ERROR
+from slotweave.sources.csv_records import cells_by_name, csv_records, header_catalogue, numbered
 
 FORMATS = ("csv", "json", "parquet")
 # Texts that mean "missing" in a CSV cell.
@@ -48,15 +49,7 @@ def _header(spark: SparkSession, path: str, options: dict) -> list[str]:
     first = spark.read.options(**options).csv(path, header=False).limit(1).collect()
     if not first:
         raise ValueError(f"{path} is empty")
-    names: list[str] = []
-    for position, cell in enumerate(first[0]):
-        name = base = (cell or f"column {position}").lstrip("\ufeff")
-        repeat = 0
-        while name in names:
-            repeat += 1
-            name = f"{base}.{repeat}"
-        names.append(name)
-    return names
+    return numbered(first[0])
 
 
 def _distinct_names(names: list[str]) -> list[str]:
@@ -77,14 +70,39 @@ def _csv_options(encoding: str, multi_line: bool) -> dict:
     return {**_DIALECT, "encoding": encoding, "multiLine": multi_line}
 
 
-def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", multi_line: bool = True, stream: bool = False, **more) -> DataFrame:
+def read_csv_files(spark: SparkSession, path: str | Sequence[str], fallback: str | None = "cp1252") -> DataFrame:
+    """CSV files with headers of their own, put together by name; each file is read by many tasks, line breaks in cells or not.
+
+    A column that a file lacks is NULL in its rows; an alternate name counts as the required one where the file lacks that.
+    Files are UTF-8 or else ``fallback``. Rows with surplus cells or broken bytes get an ``error``, as in ``read_csv``.
+    """
+    records, headers = csv_records(spark, path, fallback)
+    catalogue = header_catalogue(headers)
+    if not catalogue:
+        raise ValueError(f"{path} is empty")
+    rows, names = cells_by_name(records, headers, catalogue, _DIALECT)
+    cells = {name: missing_to_null(F.get("cells", F.lit(k))) for k, name in enumerate(names)}
+    error = F.coalesce(F.col(ERROR), cells.pop(ERROR)) if ERROR in cells else F.col(ERROR)
+    final = _distinct_names(list(cells))
+    return rows.select(*(cell.alias(name) for name, cell in zip(final, cells.values(), strict=True)), error.alias(ERROR))
+
+
+def read_csv(
+    spark: SparkSession, path: str, encoding: str = "UTF-8", multi_line: bool = True, stream: bool = False,
+    by_name: bool = False, **more,
+) -> DataFrame:
     """CSV with a header; doubled quotes, line breaks inside quotes.
 
     A row with more cells than the header gets an ``error`` that ends in the raw record; a short row is filled with
     NULL. All files must have the same header: another one is an error when its file is read. Where names repeat, or
     differ by case only, headers cannot be compared, so only one file may be read. ``multi_line=False`` lets Spark split large
     files, for data without line breaks in cells. With ``stream`` the header comes from the files that are there.
+    With ``by_name`` the files are those of ``read_csv_files``; an encoding besides UTF-8 is for files that are not UTF-8.
     """
+    if by_name:
+        if stream or more:
+            raise ValueError("files with different headers are read as a table, without further options")
+        return read_csv_files(spark, path, "cp1252" if encoding.upper() == "UTF-8" else encoding)
     options = {**_csv_options(encoding, multi_line), **more}
     first = spark.read.options(**_csv_options(encoding, multi_line))
     names = _header(spark, path, _csv_options(encoding, multi_line))
@@ -199,13 +217,14 @@ def add_reader_options(parser: ArgumentParser) -> None:
     """Options of the readers for a command line."""
     parser.add_argument("--encoding", default="UTF-8", help="of CSV and JSON files")
     parser.add_argument("--single-line", action="store_true", help="CSV cells hold no line breaks: large files can be split")
+    parser.add_argument("--by-name", action="store_true", help="CSV files may differ in headers and encoding; large ones are split")
     parser.add_argument("--whole-document", action="store_true", help="JSON files hold one list of records each")
 
 
 def reader_options(args: Namespace, path: str, fmt: str | None = None) -> dict:
     """The options that the format of ``path`` has."""
     return {
-        "csv": {"encoding": args.encoding, "multi_line": not args.single_line},
+        "csv": {"encoding": args.encoding, "multi_line": not args.single_line, "by_name": args.by_name},
         "json": {"encoding": args.encoding, "whole_document": args.whole_document},
         "parquet": {},
     }[format_of(path, fmt)]
