@@ -54,6 +54,23 @@ def test_stages_keep_columns(spark, tmp_path, odd_documents, odd_labels, stage):
             assert out.columns == docs.columns and len(rows) <= docs.count()
 
 
+def test_toxicity_stage_keeps_texts_without_evidence(spark, tmp_path, odd_documents):
+    schema = "doc_id long, quality int, toxic int"
+    for name, rows in (("none", []), ("clean", [(k, 1, 0) for k in range(1, 9)]), ("toxic", [(k, 0, 1) for k in (3, 4, 5)])):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        kept = corpus_pipeline.STAGES[1][1](spark, odd_documents, f"{tmp_path}/{name}")
+        assert kept.count() == odd_documents.count()
+
+
+def test_a_sampled_id_counts_once(spark):
+    docs = [(k, f"good day number {k} of many") for k in range(60)] + [(k, f"vile words vile {k}") for k in range(100, 130)]
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in docs], "doc_id long, toxic int")
+    once = spark.createDataFrame(docs, "doc_id long, text string")
+    many = once.union(once.where("doc_id in (101, 5)")).union(once.where("doc_id = 101"))
+    a, b = (toxicity_model.fit(d, labels) for d in (once, many))
+    assert (a.keys == b.keys).all() and (a.weight == b.weight).all() and a.bias == b.bias and len(a.keys)
+
+
 def test_equal_and_null_documents_are_one(odd_documents):
     kept = near_duplicates.keep_one(odd_documents).select("doc_id", "text").collect()
     ids = sorted(str(r.doc_id) for r in kept)
