@@ -5,7 +5,9 @@ characters they look like, spelled digits to digits, and disguises such as "(at)
 What a transducer puts out keeps an alignment, piece by piece, with the characters it read. The same detectors run on
 both outputs, and each span goes back through the alignment to code points of the source.
 
-Spans found on the identity always stay; one found behind a disguise is added where it meets none of them. Detection
+Spans found on the identity always stay; one found behind a disguise is added unless one of them covers it, and
+redaction takes the union of all. A bare "at" makes an address only if what stands before it is no common word, and its
+dots are spelled too, or other evidence is there (``_is_address``). Detection
 looks at each position a bounded number of times, whatever the text: runs of one character class are never rescanned.
 """
 
@@ -38,8 +40,15 @@ HOMOGLYPHS = dict(zip(
 #: Spelled digits.
 DIGITS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6",
           "seven": "7", "eight": "8", "nine": "9"}
-#: Last labels that are taken for a domain where "at" and "dot" stand as bare words.
-ENDINGS = frozenset("com org net edu gov mil info biz io co me eu uk de fr es it nl ch at be pl us ca au jp in br".split())
+#: Words that stand before "at" in prose, never a name.
+BEFORE_AT = frozenset(
+    "i you he she it we they me him her us them this that these those one two who what all both some any none look looks "
+    "looked looking see saw seen meet met is are was were be been am stay live lived work works worked arrive arrived aim "
+    "aimed sit sat stand stood stop stopped start started available sold hosted found held located based shop buy read "
+    "laugh point pointed good bad better best not only here there home out up down now then today sale more less even".split())
+_LEAD = re.compile(r"(?:e-?mail|mail|contact|write|reach|address|adresse|correo|courriel|kontakt)\W{1,3}(?:(?:me|us|to|is)\W{1,2})?$|[:<=]\s?$", re.IGNORECASE)
+_BARE_AT = re.compile(r"(?<![(\[{<]) at (?![)\]}>])", re.IGNORECASE)
+_SPELLED_DOT = re.compile(r"[ (\[{<]dot[ )\]}>]", re.IGNORECASE)
 
 _GLYPHS = "".join(re.escape(c) for c in HOMOGLYPHS)
 _WORD = r"(?<![A-Za-z0-9])(?:" + "|".join(DIGITS) + r"|[0-9]{1,4})(?![A-Za-z0-9])"
@@ -155,6 +164,15 @@ def to_source(r: Rewritten, start: int, end: int, length: int) -> tuple[int, int
     return a, b, any(r.changed[first:last + 1])
 
 
+def _is_address(text: str, start: int, end: int, local: str) -> bool:
+    """Whether a span with a bare "at" is an address: by spelled dots, signs in the name, or a word that leads up to it."""
+    if local.lower() in BEFORE_AT:
+        return False
+    if _SPELLED_DOT.search(text, start, end) or any(not c.isalpha() for c in local):
+        return True
+    return _LEAD.search(text[max(0, start - 24):start]) is not None
+
+
 def find(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """Spans as they stand, and all spans, both by start and then kind."""
     base = spans(text)
@@ -164,21 +182,22 @@ def find(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, st
     added = []
     for start, end, kind in spans(revealed.text):
         a, b, rewritten = to_source(revealed, start, end, len(text))
-        bare = kind == "email" and " at " in text[a:b].lower()
-        if bare and revealed.text[start:end].rpartition(".")[2].lower() not in ENDINGS:
+        if not rewritten or any(x <= a and b <= y for x, y, _ in base):
             continue
-        if rewritten and not any(x < b and a < y for x, y, _ in base):
-            added.append((a, b, kind))
+        if kind == "email" and _BARE_AT.search(text, a, b):
+            if not _is_address(text, a, b, revealed.text[start:end].partition("@")[0]):
+                continue
+        added.append((a, b, kind))
     return base, sorted(base + added, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
 def redact(text: str) -> str:
-    """Each span gives way to its kind in brackets; of spans that meet, the first and longest counts."""
+    """Each span gives way to its kind in brackets; of spans that meet, the first and longest names all they cover."""
     out, at = [], 0
     for start, end, kind in sorted(find(text)[1], key=lambda s: (s[0], -s[1])):
         if start >= at:
             out += [text[at:start], f"[{kind.upper()}]"]
-            at = end
+        at = max(at, end)
     return "".join([*out, text[at:]])
 
 

@@ -181,6 +181,46 @@ def test_op4_disguises(text, kind, span):
     assert f"[{kind.upper()}]" in pii.redact(text) and span not in pii.redact(text)
 
 
+@pytest.mark.parametrize("text,left", [
+    ("write jоhn@example.com now", "write [EMAIL] now"), ("john@mail.exаmple.com", "[EMAIL]"), ("x a\u200bb@c.com", "x [EMAIL]"),
+    ("anna at firma dot ru", "[EMAIL]"), ("anna ( at ) firma ( dot ) ru", "[EMAIL]"), ("mail anna at firma.ru", "mail [EMAIL]"),
+    ("anna.k at firma.dev", "[EMAIL]"),
+])
+def test_op4_leaves_no_part_of_an_identifier(text, left):
+    assert pii.redact(text) == left
+
+
+@pytest.mark.parametrize("text", [
+    "look at google.com", "see you at example.com", "meet me at noon dot com", "We stayed at hotel.de twice", "prices at shop.example.net"])
+def test_op4_leaves_places_alone(text):
+    assert pii.redact(text) == text
+
+
+def test_op4_recall_of_generated_disguises():
+    rng = random.Random(8)
+    digits = dict(zip("0123456789", "zero one two three four five six seven eight nine".split()))
+    look = {"a": "а", "e": "е", "o": "о", "c": "с", "p": "р", "x": "х"}
+    plain = ["The quick fox sat there.", "Prices rose by two or three percent at last.", "Look at this dot on the map."]
+    found = {}
+    for k in range(400):
+        name = "".join(rng.choice("abcdeoxk") for _ in range(7)) + rng.choice(["", ".k", "7"])
+        host, end = "".join(rng.choice("abcdeox") for _ in range(6)), rng.choice(["com", "ru", "dev", "example", "co.uk"])
+        number = "".join(rng.choice("0123456789") for _ in range(11))
+        forms = {
+            "brackets": (f"{name} (at) {host} (dot) {end}", "email"), "words": (f"{name} at {host} dot " + end.replace(".", " dot "), "email"),
+            "letters": ("".join(look.get(c, c) for c in f"{name}@{host}.{end}"), "email"),
+            "spelled phone": ("plus " + " ".join(digits[c] for c in number), "phone"),
+            "spelled ip": (" dot ".join(" ".join(digits[c] for c in str(rng.randint(1, 255))) for _ in range(4)), "ip"),
+        }
+        for form, (disguised, kind) in forms.items():
+            text = f"{rng.choice(plain)} {disguised}, {rng.choice(plain)}"
+            hit = pii.redact(text) == text.replace(disguised, f"[{kind.upper()}]", 1)
+            found.setdefault(form, []).append(hit)
+    shares = {form: np.mean(hits) for form, hits in found.items()}
+    assert min(shares.values()) >= 0.95, shares
+    assert all(pii.redact(a + " " + b) == a + " " + b for a in plain for b in plain)
+
+
 def test_op4_leaves_prose_alone():
     assert pii.find("A cat sat at home dot and. Two or three, one at a time.") == ([], [])
 
