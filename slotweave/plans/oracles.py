@@ -334,3 +334,4 @@ select doc_id, {joined('(l || list_transform(range(128), lambda z: -100))[1:128]
     "G1_counters": _COUNTERS,
     "G1_stream_totals": _COUNTERS,
 }
+ORACLES["E4_aligned_files"] = ORACLES["E4_row_alignment"]

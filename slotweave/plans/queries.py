@@ -17,6 +17,7 @@ from slotweave.functions.spans import (
 from slotweave.functions.subwords import read_vocabulary
 from slotweave.functions.text import clean_text, is_brand_in_query, split_line, token_line, tokenize_query
 from slotweave.operators import metrics, training_data
+from slotweave.operators.alignment import aligned
 from slotweave.operators.chain_tagger import ChainTagger, load_tagger, train_chain
 from slotweave.operators.columns import normalize_columns
 from slotweave.operators.decoding import SLOT_COLUMNS, decode_slots, leaderboard
@@ -305,6 +306,18 @@ def row_alignment(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def aligned_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Truth and prediction from two tables of files without a common key: rows meet by their place."""
+    path = scratch_path(spark)
+    row_alignment(spark, folder).write.parquet(f"{path}/both")
+    both = spark.read.parquet(f"{path}/both")
+    truth = both.select("query_id", "brand", "attributes", "product_type").repartitionByRange(5, "query_id").sortWithinPartitions("query_id")
+    found = both.repartitionByRange(3, "query_id").sortWithinPartitions("query_id").select("brand_pred", "attributes_pred", "product_type_pred")
+    truth.write.parquet(f"{path}/truth.parquet")
+    found.write.parquet(f"{path}/found.parquet")
+    return aligned(*(readers.read_in_order(spark, f"{path}/{name}.parquet") for name in ("truth", "found")))
+
+
 def metric_pack(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(metrics.slot_metrics(_predictions(spark, folder)))
 
@@ -734,6 +747,7 @@ QUERIES = {
     "E2_single_slot_scores": single_slot_scores,
     "E3_list_slot_scores": list_slot_scores,
     "E4_row_alignment": row_alignment,
+    "E4_aligned_files": aligned_files,
     "E4_evaluated_failures": evaluated_failures,
     "E5_metric_pack": metric_pack,
     "E5_entity_scores": entity_scores,

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
 from slotweave.functions.attributes import number_text
+from slotweave.operators.alignment import position_columns
 from slotweave.operators.columns import ALTERNATE_NAMES, ERROR
 from slotweave.sources.csv_records import cells_by_name, csv_records, header_catalogue, numbered
 
@@ -89,7 +90,7 @@ def read_csv_files(spark: SparkSession, path: str | Sequence[str], fallback: str
 
 def read_csv(
     spark: SparkSession, path: str, encoding: str = "UTF-8", multi_line: bool = True, stream: bool = False,
-    by_name: bool = False, **more,
+    by_name: bool = False, positions: bool = False, **more,
 ) -> DataFrame:
     """CSV with a header; doubled quotes, line breaks inside quotes.
 
@@ -97,10 +98,10 @@ def read_csv(
     NULL. All files must have the same header: another one is an error when its file is read. Where names repeat, or
     differ by case only, headers cannot be compared, so only one file may be read. ``multi_line=False`` lets Spark split large
     files, for data without line breaks in cells. With ``stream`` the header comes from the files that are there.
-    With ``by_name`` the files are those of ``read_csv_files``; an encoding besides UTF-8 is for files that are not UTF-8.
+    ``positions`` adds ``position_columns``. With ``by_name`` the files are those of ``read_csv_files``; an encoding besides UTF-8 is for files that are not UTF-8.
     """
     if by_name:
-        if stream or more:
+        if stream or positions or more:
             raise ValueError("files with different headers are read as a table, without further options")
         return read_csv_files(spark, path, "cp1252" if encoding.upper() == "UTF-8" else encoding)
     options = {**_csv_options(encoding, multi_line), **more}
@@ -111,7 +112,17 @@ def read_csv(
     if not checked and (stream or len(first.csv(path, header=False).inputFiles()) > 1):
         raise ValueError(f"{path}: column names repeat or are blank, so files cannot be told apart by their headers")
     source = spark.readStream if stream else spark.read
-    return _read_cells(source, path, names, {**options, "header": True}, checked)
+    return _read_cells(source, path, names, {**options, "header": True}, checked, positions)
+
+
+def read_in_order(spark: SparkSession, path: str, fmt: str | None = None, **options) -> DataFrame:
+    """A CSV or Parquet table with the columns that tell each row's place in the files, for ``aligned``."""
+    name = format_of(path, fmt)
+    if name == "csv":
+        return read_csv(spark, path, positions=True, **options)
+    if name == "parquet":
+        return spark.read.options(**options).parquet(path).select("*", *position_columns())
+    raise ValueError("rows are aligned by place in CSV and Parquet files only")
 
 
 def read_headless_csv(spark: SparkSession, path: str, names: list[str], encoding: str = "UTF-8", multi_line: bool = True) -> DataFrame:
@@ -119,10 +130,12 @@ def read_headless_csv(spark: SparkSession, path: str, names: list[str], encoding
     return _read_cells(spark.read, path, names, _csv_options(encoding, multi_line), False)
 
 
-def _read_cells(source: DataFrameReader | DataStreamReader, path: str, names: list[str], options: dict, checked: bool) -> DataFrame:
+def _read_cells(
+    source: DataFrameReader | DataStreamReader, path: str, names: list[str], options: dict, checked: bool, positions: bool = False,
+) -> DataFrame:
     """All cells as text, and an error for rows with more cells than names; for tables and streams.
 
-    ``checked`` has Spark compare each file's header with the names.
+    ``checked`` has Spark compare each file's header with the names; ``positions`` adds ``position_columns``.
     """
     fields = names if checked else [f"_{k}" for k in range(len(names))]
     schema = T.StructType([T.StructField(name, T.StringType()) for name in (*fields, _RAW)])
@@ -136,7 +149,7 @@ def _read_cells(source: DataFrameReader | DataStreamReader, path: str, names: li
     if ERROR in names:
         error = F.coalesce(error, missing_to_null(F.col(f"`{fields[names.index(ERROR)]}`")))
         cells = [cell for name, cell in zip(names, cells) if name != ERROR]
-    return raw.select(*cells, error.alias(ERROR))
+    return raw.select(*cells, error.alias(ERROR), *(position_columns() if positions else ()))
 
 
 def _field(record: Column, name: str) -> Column:
