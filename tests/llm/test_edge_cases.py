@@ -103,3 +103,17 @@ def test_conversations_with_odd_rows(spark):
         (None, 0, 0, "Hello there friend.\nHow are you?"), (0, 0, 1, "Fine."), (1, 0, 2, "Great."), (None, 3, 0, "x")]
     assert got[None, 1].reply_to is None and got[2, 0].n_quotes == 1 and got[2, 0].n_linked == 0
     assert quotations.conversations(table.where("false")).collect() == []
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext, conf = Context, {}
+
+    from slotweave.llm.shared import shared_path
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_path(Session, "x")
+    Session.conf = {"spark.checkpoint.dir": "/shared/"}
+    assert shared_path(Session, "x").startswith("/shared/x-")
