@@ -1,5 +1,7 @@
 """Every operator and stage on odd rows and on empty tables: no crash, a row for each document, defined results."""
 
+import random
+
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -105,6 +107,56 @@ def test_conversations_with_odd_rows(spark):
     assert quotations.conversations(table.where("false")).collect() == []
 
 
+def test_quotes_of_parts_against_known_originals(spark):
+    """Generated conversations: whole, partial, re-wrapped, nested and repeated quotes, and chains of replies."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    sentence = lambda n: " ".join(word() for _ in range(n)).capitalize() + "."
+    wrap = lambda text, n: [" ".join(w[k:k + n]) for w in [text.split()] for k in range(0, len(w), n)]
+    rows, want = [], {}
+    for conv in range(40):
+        own = []
+        for turn in range(12):
+            text = " ".join(sentence(rng.randint(4, 14)) for _ in range(rng.randint(3, 6)))
+            lines, target = [], None
+            if turn and rng.random() < 0.8:
+                target = rng.randrange(turn)
+                source = own[target]
+                cut = source.split(". ")
+                at = rng.randrange(len(cut))
+                words = source.split()
+                start = rng.randrange(max(len(words) - 10, 1))
+                lines = {
+                    "whole": [source], "sentence": [cut[at]], "wrapped": wrap(source, rng.randint(4, 9)),
+                    "middle": wrap(" ".join(words[start:start + 10]), 7), "tail": wrap(" ".join(words[-12:]), 5),
+                }[rng.choice(["whole", "sentence", "wrapped", "middle", "tail"])]
+                older = [f"> > {line}" for line in wrap(own[rng.randrange(target)], 8)] if target and rng.random() < 0.4 else []
+                lines = [*older, *(f"> {line}" for line in lines)] * rng.choice([1, 1, 2])
+            rows.append((conv, turn, "u", "\n".join([*lines, text])))
+            own.append(text)
+            want[conv, turn] = target
+    for k in range(60):  # a long chain of replies
+        rows.append((99, k, "u", f"> {rows[-1][3].splitlines()[-1]}\n{sentence(9)}" if k else sentence(9)))
+        want[99, k] = k - 1 if k else None
+    got = quotations.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {(r.conv_id, r.turn): r.reply_to for r in got} == want
+    depth, thread = {}, {}
+    for key in sorted(want):
+        up = (key[0], want[key])
+        depth[key], thread[key] = (depth[up] + 1, thread[up]) if want[key] is not None else (0, key[1])
+    assert {(r.conv_id, r.turn): (r.depth, r.thread) for r in got} == {k: (depth[k], thread[k]) for k in want}
+
+
+def test_a_common_run_of_nine_words_has_a_chosen_window():
+    rng = random.Random(1)
+    for _ in range(300):
+        shared = [f"s{rng.randrange(50)}" for _ in range(quotations.WINDOW + quotations.CHOSEN - 1)]
+        a, b = ([f"{side}{k}" for k in range(rng.randint(0, 9))] for side in "ab")
+        one, two = (set(quotations.part_keys(" ".join([*x, *shared, *x]))) for x in (a, b))
+        assert one & two
+    assert quotations.part_keys("") == [] and len(quotations.part_keys("one two three")) == 1
+
+
 def test_a_cluster_needs_a_shared_folder():
     class Context:
         master = "spark://host:7077"
