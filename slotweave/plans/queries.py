@@ -22,6 +22,7 @@ from slotweave.operators.chain_tagger import ChainTagger, load_tagger, train_cha
 from slotweave.operators.columns import normalize_columns
 from slotweave.operators.decoding import SLOT_COLUMNS, decode_slots, leaderboard
 from slotweave.operators.labeling import label_queries
+from slotweave.operators.sql_functions import register_sql_functions
 from slotweave.operators.tagger import Tagger, train_tagger
 from slotweave.plans import evaluate_job
 from slotweave.plans.evaluate_job import predict_slots
@@ -196,6 +197,30 @@ def label_query_log(spark: SparkSession, folder: str) -> DataFrame:
     return _flat(_labelled(spark, folder), "query_id")
 
 
+def _sql_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """The query log labelled in SQL, by functions of this session."""
+    register_sql_functions(spark)
+    return spark.sql("""
+        SELECT query_id, query, brand, attributes, product_type, inline(array(labels))
+        FROM (
+            SELECT query_id, clean_text(query) AS query, clean_text(brand) AS brand, attributes, clean_text(product_type) AS product_type,
+                   label_query(query, brand, attributes, product_type) AS labels
+            FROM (SELECT query_id, query, brand, product_type, parse_attributes(attributes) AS attributes FROM {log}))
+    """, log=_log(spark, folder))
+
+
+def sql_labels(spark: SparkSession, folder: str) -> DataFrame:
+    return _flat(_sql_labels(spark, folder), "query_id")
+
+
+def sql_slots(spark: SparkSession, folder: str) -> DataFrame:
+    """Slots decoded in SQL from the labels that SQL gave."""
+    return spark.sql("""
+        SELECT query_id, slots.brand_pred, array_join(slots.attributes_pred, '|') AS attributes_pred, slots.product_type_pred
+        FROM (SELECT query_id, predicted_slots(extract_entities(tokens, bioes_tags)) AS slots FROM {labels})
+    """, labels=_sql_labels(spark, folder))
+
+
 def _labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Whole documents as queries; their own first, middle and last words as slot values."""
     documents = _table(spark, folder, "documents")
@@ -739,10 +764,12 @@ QUERIES = {
     "C5_augment_brand": augment_brand,
     "C6_label_query_log": label_query_log,
     "C6_label_documents": label_documents,
+    "C6_sql_labels": sql_labels,
     "C7_error_capture": error_capture,
     "C8_label_job": label_job,
     "D1_decode_entities": decode_entities,
     "D2_slot_projection": slot_projection,
+    "D2_sql_slots": sql_slots,
     "E1_top1_accuracy": top1_accuracy,
     "E2_single_slot_scores": single_slot_scores,
     "E3_list_slot_scores": list_slot_scores,
