@@ -337,3 +337,4 @@ select doc_id, {joined('(l || list_transform(range(128), lambda z: -100))[1:128]
 ORACLES["E4_aligned_files"] = ORACLES["E4_row_alignment"]
 ORACLES["C6_sql_labels"] = ORACLES["C6_label_query_log"]
 ORACLES["D2_sql_slots"] = ORACLES["D2_slot_projection"]
+ORACLES["A2_json_documents"] = ORACLES["A2_json_source"]

@@ -559,6 +559,20 @@ def json_source(spark: SparkSession, folder: str) -> DataFrame:
         "query_id", "query", "brand", "product_type", "attributes")
 
 
+def json_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The records of ``json_source`` from four files that hold one list each, which many tasks read."""
+    path = f"{scratch_path(spark)}/documents.json"
+    lines = spark.read.text(_json_lines(spark, folder, malformed=False)).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(4)))
+    in_file = Window.partitionBy("part")
+    place = F.row_number().over(in_file.orderBy("value"))
+    text = F.concat(
+        F.when(place == 1, "[ ").otherwise(", "), "value", F.when(place == F.count(F.lit(1)).over(in_file), " ]").otherwise(""))
+    lines.select("part", text.alias("text")).write.partitionBy("part").text(path)
+    rows = readers.read_queries(spark, path, whole_document=True, further=("query_id",))
+    return _flat(label_queries(rows, keep=("query_id",)), F.col("query_id").cast("bigint").alias("query_id")).select(
+        "query_id", "query", "brand", "product_type", "attributes")
+
+
 def column_names(spark: SparkSession, folder: str) -> DataFrame:
     """Alternate names are read, missing columns become ''."""
     part = _table(spark, folder, "part").select("p_partkey", F.col("p_name").alias("Query"), F.col("p_size").alias("brand"))
@@ -730,6 +744,7 @@ QUERIES = {
     "tag_distribution": tag_distribution,
     "A1_csv_source": csv_source,
     "A2_json_source": json_source,
+    "A2_json_documents": json_documents,
     "A3_column_names": column_names,
     "A4_missing_texts": missing_texts,
     "A1_csv_folder": csv_folder,

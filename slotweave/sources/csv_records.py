@@ -20,10 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from slotweave.operators.columns import ALTERNATE_NAMES, ERROR
-from slotweave.plans.scratch import scratch_path
+from slotweave.sources.byte_ranges import counted, known, range_runs, read_lines
 
-#: Rows on byte ranges that are broadcast, about 100 bytes each.
-MAX_RANGES = 1_000_000
 MAX_HEADERS = 1_000
 _QUOTE = b'"'
 _WHOLE, _BEGIN, _MORE = range(3)  # a record, the beginning of one, a part that follows
@@ -55,24 +53,6 @@ def canonical(names: Sequence[str]) -> tuple[str, ...]:
     return tuple(renamed.get(name, name) for name in names)
 
 
-def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """All lines as bytes, in order within each byte range."""
-    return spark.read.text(path, lineSep="\n").select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.col("value").cast("binary").alias("line"))
-
-
-def _runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch that lie in one byte range each."""
-    if batch.num_rows == 0:
-        return
-    file, block = batch.column("file").dictionary_encode(), batch.column("block").to_numpy()
-    number = file.indices.to_numpy()
-    borders = np.flatnonzero((number[1:] != number[:-1]) | (block[1:] != block[:-1])) + 1
-    for a, b in zip([0, *borders.tolist()], [*borders.tolist(), batch.num_rows], strict=True):
-        yield batch.slice(a, b - a)
-
-
 def _quotes(lines: pa.Array) -> np.ndarray:
     return pc.count_substring(lines, _QUOTE.decode()).to_numpy(zero_copy_only=False).astype(np.int64)
 
@@ -97,7 +77,7 @@ def byte_ranges(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
                 ("file", pa.string()), ("block", pa.int64()), ("quotes", pa.int64()), ("valid", pa.bool_()), ("header", pa.binary())]))
 
         for batch in batches:
-            for part in _runs(batch):
+            for part in range_runs(batch):
                 file, block, lines = part.column("file")[0].as_py(), part.column("block")[0].as_py(), part.column("line")
                 if now is None or (now["file"], now["block"]) != (file, block):
                     if now:
@@ -117,7 +97,7 @@ def byte_ranges(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
         if now:
             yield row(now)
 
-    return _lines(spark, path).mapInArrow(run, "file string, block long, quotes long, valid boolean, header binary")
+    return read_lines(spark, path).mapInArrow(run, "file string, block long, quotes long, valid boolean, header binary")
 
 
 def _joined(lines: pa.Array, begins: np.ndarray) -> pa.Array:
@@ -162,7 +142,7 @@ def _pieces(lines: DataFrame) -> DataFrame:
                 yield out(pa.array([b"\n".join(held)], pa.binary()), np.array([_MORE if kind == _MORE else _BEGIN]))
 
         for batch in batches:
-            for part in _runs(batch):
+            for part in range_runs(batch):
                 place = part.column("file")[0].as_py(), part.column("block")[0].as_py()
                 if place != where:
                     yield from rest()
@@ -219,16 +199,11 @@ def csv_records(spark: SparkSession, path: str | Sequence[str], fallback: str |
 
     A file whose bytes are not UTF-8 is read as ``fallback``, a charset in which line breaks and quotes are those of ASCII.
     """
-    scratch = f"{scratch_path(spark)}/ranges"
-    byte_ranges(spark, path).write.parquet(scratch)
-    ranges = spark.read.parquet(scratch)
-    if ranges.count() > MAX_RANGES:
-        raise ValueError(f"more than {MAX_RANGES} byte ranges: raise spark.sql.files.maxPartitionBytes")
+    ranges = counted(byte_ranges(spark, path))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     begun = ranges.select("file", "block", (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1).alias("inside"))
-    known = _lines(spark, path).join(F.broadcast(begun), ["file", "block"], "left")
-    lost = F.raise_error(F.lit("a byte range was not counted: files or spark.sql.files.maxPartitionBytes have changed"))
-    pieces = _pieces(known.select("file", "block", F.coalesce("inside", lost.cast("boolean")).alias("inside"), "line"))
+    lines = read_lines(spark, path).join(F.broadcast(begun), ["file", "block"], "left")
+    pieces = _pieces(lines.select("file", "block", known("inside"), "line"))
     whole = pieces.where((F.col("kind") == _WHOLE) & ~F.col("first")).select("file", "piece")
     # Only pieces of records that cross a border are grouped: at most two for each range.
     order = Window.partitionBy("file").orderBy("block", F.col("kind") == _BEGIN)

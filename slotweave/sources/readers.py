@@ -19,6 +19,7 @@ from slotweave.functions.attributes import number_text
 from slotweave.operators.alignment import position_columns
 from slotweave.operators.columns import ALTERNATE_NAMES, ERROR
 from slotweave.sources.csv_records import cells_by_name, csv_records, header_catalogue, numbered
+from slotweave.sources.json_documents import is_plain, json_records
 
 FORMATS = ("csv", "json", "parquet")
 # Texts that mean "missing" in a CSV cell.
@@ -180,26 +181,36 @@ def _further_names(raw: DataFrame) -> list[str]:
     return sorted(name for name in found if name not in known)
 
 
+def _json_rows(source: DataFrameReader | DataStreamReader, path: str, whole_document: bool, encoding: str, more: dict) -> DataFrame:
+    """(record variant, _corrupt_record string) by Spark's own splitting: lines, or files that are one task each."""
+    raw = (
+        source.schema("record variant, _corrupt_record string")
+        .options(singleVariantColumn="record", multiLine=whole_document, encoding=encoding, **more)
+        .json(path)
+    )
+    if not whole_document:
+        return raw
+    listed = F.coalesce(F.col("record").try_cast("array<variant>"), F.array("record"))
+    return raw.select(F.explode_outer(listed).alias("record"), "_corrupt_record")
+
+
 def read_json(
     spark: SparkSession, path: str, whole_document: bool = False, encoding: str = "UTF-8",
     further: Sequence[str] | None = None, stream: bool = False, **more,
 ) -> DataFrame:
     """JSON lines, or with ``whole_document`` one list of records per file.
 
+    Large documents are read by many tasks each, as ``json_records`` says; in a stream, with options of Spark's reader or in
+    UTF-16 and other wide encodings, a document is one task.
     ``attributes`` is a VARIANT: text and lists may be mixed from row to row. Of a query's columns the exact name wins
     wherever it occurs, also with null. ``further`` names the other fields to keep, as text; without it a table keeps
     all, which takes a pass over the records, and a stream none. A line that repeats a key is not JSON to Spark, unless
     ``spark.sql.variant.allowDuplicateKeys`` is set, by which the last value counts.
     """
-    source = spark.readStream if stream else spark.read
-    raw = (
-        source.schema("record variant, _corrupt_record string")
-        .options(singleVariantColumn="record", multiLine=whole_document, encoding=encoding, **more)
-        .json(path)
-    )
-    if whole_document:
-        listed = F.coalesce(F.col("record").try_cast("array<variant>"), F.array("record"))
-        raw = raw.select(F.explode_outer(listed).alias("record"), "_corrupt_record")
+    if whole_document and not (stream or more) and is_plain(encoding):
+        raw = json_records(spark, path, encoding)
+    else:
+        raw = _json_rows(spark.readStream if stream else spark.read, path, whole_document, encoding, more)
     if further is None:
         further = [] if stream else _further_names(raw)
     record = F.col("record")
