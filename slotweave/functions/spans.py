@@ -22,6 +22,7 @@ TAGS = (OUTSIDE, *(f"{prefix}-{label}" for label in LABELS for prefix in "BIES")
 
 # Below five tokens a share of 80 % is reached by equal runs only.
 _MIN_FUZZY_TOKENS = 5
+_NUMBER = f"{MARK}[0-9]+"
 
 
 def let(value: Column, body) -> Column:
@@ -89,10 +90,37 @@ def exact_offset(marked: Column, entity: Column) -> Column:
     return F.when((F.length(entity) > 2) & (position > 0), token_count(before))
 
 
+def _pieces(words: Column) -> Column:
+    """Parts of an entity, with the index each begins at: one more than the words that may differ, so one part stands unchanged."""
+    size = F.size(words)
+    n_pieces = (size / _MIN_FUZZY_TOKENS).cast("int") + 1
+
+    def piece(number: Column) -> Column:
+        begin = (number * size / n_pieces).cast("int")
+        end = ((number + 1) * size / n_pieces).cast("int")
+        return F.struct(begin.alias("begin"), F.slice(words, begin + 1, end - begin).alias("words"))
+
+    return F.transform(F.sequence(F.lit(0), n_pieces - 1), piece)
+
+
+def _piece_starts(numbered: Column, piece: Column) -> Column:
+    """Starts of an entity that go with each place of one of its parts in a line of numbered cells."""
+    def quoted(word: Column) -> Column:
+        literal = F.replace(F.coalesce(word, F.lit(MARK)), F.lit(r"\E"), F.lit(r"\E\\E\Q"))
+        return F.concat(F.lit(r"\Q"), literal, F.lit(r"\E"))
+
+    # Only the first word is consumed: places may overlap.
+    rest = F.transform(F.slice(piece["words"], F.lit(2), F.size(piece["words"])), lambda word: F.concat(F.lit(" "), quoted(word), F.lit(_NUMBER)))
+    pattern = F.concat(
+        F.lit("(?<= )"), quoted(F.get(piece["words"], F.lit(0))), F.lit(f"{MARK}([0-9]+)(?="), F.array_join(rest, ""), F.lit(" )"))
+    return F.transform(F.regexp_extract_all(numbered, pattern, F.lit(1)), lambda place: place.cast("int") - piece["begin"])
+
+
 def fuzzy_offset(cells: Column, words: Column) -> Column:
     """0-based index of the first free run in which at least 80 % of ``words`` stand in place.
 
-    ``cells`` are the parts of a marked line, ``words`` the lower-cased entity tokens.
+    ``cells`` are the parts of a marked line, ``words`` the lower-cased entity tokens; neither holds blanks. Of the parts into which
+    the words are cut at least one stands unchanged in such a run, so only runs around an unchanged part are looked at.
     """
     size, length = F.size(words), F.size(cells)
 
@@ -102,12 +130,20 @@ def fuzzy_offset(cells: Column, words: Column) -> Column:
         hits = F.size(F.filter(F.zip_with(run, words, lambda a, b: a == b), lambda same: same))
         return free & (hits * 5 >= size * 4)
 
-    # Where fewer than 80 % of the words occur at all, no place needs a look.
-    present = F.size(F.filter(words, lambda word: F.array_contains(cells, word)))
-    starts = F.when((length >= size) & (present * 5 >= size * 4), F.sequence(F.lit(0), length - size)).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.get(F.filter(starts, fits), F.lit(0))
+    def starts(pieces: Column) -> Column:
+        cell = F.transform(cells, lambda cell, k: F.concat(F.coalesce(cell, F.lit("")), F.lit(MARK), k.cast("string")))
+        numbered = F.concat(F.lit(" "), F.array_join(cell, " "), F.lit(" "))
+        found = let(numbered, lambda line: F.flatten(F.transform(pieces, lambda piece: _piece_starts(line, piece))))
+        return F.array_sort(F.array_distinct(F.filter(found, lambda start: start.between(0, length - size))))
+
+    def first(pieces: Column) -> Column:
+        line = F.concat(F.lit(" "), F.array_join(cells, " ", ""), F.lit(" "))
+        # Where no part occurs at all, no cell is numbered.
+        occurs = let(line, lambda whole: F.exists(
+            pieces, lambda piece: F.contains(whole, F.concat(F.lit(" "), F.array_join(piece["words"], " ", ""), F.lit(" ")))))
+        return F.when(occurs, F.get(F.filter(starts(pieces), fits), F.lit(0)))
+
+    return F.when(size == 0, F.lit(0)).when(length >= size, let(_pieces(words), first))
 
 
 def _mark_fuzzy(marked: Column, entity: Column, label: str) -> Column:

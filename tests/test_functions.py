@@ -7,6 +7,7 @@ from slotweave.functions import (
     TAGS, apply_bioes_tags, clean_text, extract_entities, is_brand_in_query, parse_attributes, tokenize_query,
 )
 from slotweave.functions.attributes import number_text
+from slotweave.functions.spans import fuzzy_offset
 from slotweave.operators.labeling import label_queries
 from slotweave.operators.training_data import align_labels
 
@@ -183,3 +184,25 @@ def test_align_labels(spark):
     assert df.select(align_labels(F.col("w"), F.col("l"), 6)).first()[0] == [-100, 3, -100, 7, -100, -100]
     assert df.select(align_labels(F.col("w"), F.col("l"), 2)).first()[0] == [-100, 3]
     assert len(df.select(align_labels(F.col("w"), F.col("l"))).first()[0]) == 128
+
+
+def test_fuzzy_offset_tries_every_start(spark):
+    """Overlapping places, words that look like patterns, tagged cells, entities of one to twelve words."""
+    draw, kinds, rows = random.Random(5), ("a", "b", "c", "d\\E", "e.f", "g*", "x"), []
+    for number in range(3000):
+        cells = [draw.choice((*kinds, "\x1fB-Brand")) for _ in range(draw.randrange(40))]
+        begin, size = draw.randrange(len(cells) + 1), draw.randrange(13)
+        words = [word if draw.random() < 0.85 else draw.choice(kinds) for word in cells[begin:begin + size]] or [draw.choice(kinds) for _ in range(size)]
+        rows.append((number, cells, [word.lstrip("\x1f") for word in words]))
+
+    def plain(cells, words):
+        for start in range(len(cells) - len(words) + 1):
+            run = cells[start:start + len(words)]
+            if not any(cell.startswith("\x1f") for cell in run) and 5 * sum(map(str.__eq__, run, words)) >= 4 * len(words):
+                return start
+        return None
+
+    df = spark.createDataFrame(rows, "number int, cells array<string>, words array<string>")
+    found = {row.number: row.place for row in df.select("number", fuzzy_offset(F.col("cells"), F.col("words")).alias("place")).collect()}
+    assert found == {number: plain(cells, words) for number, cells, words in rows}
+    assert sum(place is not None for place in found.values()) > 500
