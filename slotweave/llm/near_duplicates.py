@@ -7,16 +7,14 @@
    two), and all pairs if it has at most ``SMALL`` members. The number of these pairs is linear in the number of bucket members.
 3. Both texts of a pair are fetched and the probability Jaccard of their weighted shingles is computed exactly.
 4. Connected components of the links of at least ``SIMILARITY`` are the first classes.
-5. A star may miss links, and its centre may be the wrong one. So the members of larger buckets that are not one class
-   yet meet again under ``FINE_BANDS`` finer keys of ``FINE_ROWS`` registers. Buckets of those with more than one class
-   are dealt into blocks of ``BLOCK``, and a block proposes ``FORESTS`` spanning forests of its classes, without a pair in
-   common: each takes the pairs that agree in the most registers, ``LEAST_AGREEING`` at least, and has one fewer than there
-   are classes at most. What is verified joins the classes.
-
-With 32 bands of 4 registers two texts of similarity 0.8 miss each other in every band once in 2 * 10^7 pairs. They
-miss each other in every finer band once in 10^5, and agree in fewer than ``LEAST_AGREEING`` of the 128 registers 3 times
-in 10^5. Step 5 is linear in the members of larger buckets; a link that neither a star nor a forest proposes stays unseen,
-unless others join its classes: README has figures.
+5. A star may miss links, and its centre may be the wrong one. So all pairs of a larger bucket that are in different
+   classes by then are compared: the bucket is dealt into blocks of ``BLOCK`` members, and each two blocks meet in a task of
+   bounded size. A pair belongs to the first bucket it shares. By the weights that both texts have in common no pair of at least
+   ``SIMILARITY`` is passed over; what is left is computed exactly, the likeliest pairs first, until nothing else would join two classes.
+
+With 32 bands of 4 registers two texts of similarity 0.8 miss each other in every band once in 2 * 10^7 pairs; of the pairs
+that share a band, no link between classes is missed. Step 5 makes (members / ``BLOCK``) * members rows of a bucket that is not
+one class, and its comparisons grow with the square of such a bucket; buckets of one class are done after step 4.
 Texts without words are near to texts with the same bytes only. Rows are told apart by a hash of id and text; equal
 rows are one document. The class id is the smallest document id of the class, null if no member has one.
 """
@@ -31,14 +29,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotweave.llm.components import components
-from slotweave.llm.prob_minhash import REGISTERS, Shingles, band_keys, probability_jaccard, shingles, signatures
+from slotweave.llm.prob_minhash import Shingles, band_keys, probability_jaccard, shingles, signatures
 from slotweave.llm.shared import written
-from slotweave.llm.words import mix, slices
+from slotweave.llm.words import slices
 
 SIMILARITY = 0.8
 SMALL = 8
-FINE_BANDS, FINE_ROWS, BLOCK, FORESTS = 64, 8, 64, 3
-LEAST_AGREEING = 84
+BLOCK = 512
 
 
 def _row_key() -> Column:
@@ -46,31 +43,28 @@ def _row_key() -> Column:
 
 
 def signature_table(docs: DataFrame) -> DataFrame:
-    """doc_id, row key, node, band keys (none for a text without words) and a byte of each register of every document."""
+    """doc_id, row key, node and band keys (none for a text without words) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
             s = shingles(piece.column("text"))
-            registers = signatures(s)
-            keys = band_keys(registers).view(np.int64)
-            sketches = [r.tobytes() for r in mix(registers).astype(np.uint8)]
+            keys = band_keys(signatures(s)).view(np.int64)
             filled = np.bincount(s.doc, minlength=s.n_docs) > 0
             ends = np.concatenate([[0], np.cumsum(filled * keys.shape[1])])
             bands = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys[filled].ravel()))
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), piece.column("row_key"), pa.array(s.digest.view(np.int64)), bands,
-                 pa.array(sketches, pa.binary())],
-                names=["doc_id", "row_key", "node", "bands", "sketch"])
+                [piece.column("doc_id"), piece.column("row_key"), pa.array(s.digest.view(np.int64)), bands],
+                names=["doc_id", "row_key", "node", "bands"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", _row_key().alias("row_key"), "text").mapInArrow(
-        run, f"doc_id {kind}, row_key long, node long, bands array<long>, sketch binary")
+        run, f"doc_id {kind}, row_key long, node long, bands array<long>")
 
 
 def node_table(signed: DataFrame) -> DataFrame:
-    """One row per node: the first of its documents by id, the bands and the bytes of the registers."""
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key", "bands", "sketch")).alias("first")
-    return signed.groupBy("node").agg(first).select("node", "first.doc_id", "first.row_key", "first.bands", "first.sketch")
+    """One row per node: the first of its documents by id, and the bands."""
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key", "bands")).alias("first")
+    return signed.groupBy("node").agg(first).select("node", "first.doc_id", "first.row_key", "first.bands")
 
 
 def bucket_members(nodes: DataFrame) -> DataFrame:
@@ -80,7 +74,7 @@ def bucket_members(nodes: DataFrame) -> DataFrame:
 
 
 def candidate_pairs(members: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of nodes; a is a star's centre or the smaller one."""
+    """Distinct pairs (a, b) of nodes; a is a star's centre or the smaller one. ``refined`` compares the rest."""
     central = members.groupBy("node").agg(F.sum(F.col("size") - 1).alias("weight"))
     ranked = members.join(central, "node")
     # Of members that are equally central, the one with the largest and the one with the smallest node.
@@ -97,32 +91,31 @@ def candidate_pairs(members: DataFrame) -> DataFrame:
     return star.union(small).distinct()
 
 
-def mixed_nodes(nodes: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(node, label, sketch) of the members of buckets with more than ``SMALL`` nodes and more than one component."""
+def mixed_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, size, node, label) of the members of buckets with more than ``SMALL`` nodes and more than one component."""
     large = members.where(F.col("size") > SMALL).join(labels, "node", "left").select(
-        "key", "node", F.coalesce("label", "node").alias("label"))
+        "key", "size", "node", F.coalesce("label", "node").alias("label"))
     mixed = large.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    return large.join(mixed, "key").select("node", "label").distinct().join(nodes.select("node", "sketch"), "node")
+    return large.join(mixed, "key").select("key", "size", "node", "label")
 
 
-def _with_fine_keys(mixed: DataFrame) -> DataFrame:
-    """Node, label and ``fine``: keys of ``FINE_ROWS`` registers each."""
-    draw = np.random.default_rng(FINE_BANDS)
-    chosen = np.stack([draw.choice(REGISTERS, FINE_ROWS, replace=False) for _ in range(FINE_BANDS)])
-    salt = mix(np.arange(1, FINE_BANDS + 1, dtype=np.uint64))
+def shingle_table(mixed: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, bands, shingle, weight) of the nodes of ``mixed``: sorted shingles and their counts, as bytes."""
+    wanted = mixed.select("node").distinct().join(nodes.select("node", "row_key", "bands"), "node")
+    found = docs.select(_row_key().alias("row_key"), "text").join(wanted, "row_key").dropDuplicates(["node"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
-            keys = mix(np.ascontiguousarray(sketch[:, chosen]).view(np.uint64)[:, :, 0] ^ salt).view(np.int64)
-            offsets = np.arange(len(keys) + 1, dtype=np.int32) * FINE_BANDS
-            fine = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("label"), fine], names=["node", "label", "fine"])
+        for piece in slices(batches):
+            parts = _split(shingles(piece.column("text")))
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("node"), piece.column("bands"), pa.array([key.tobytes() for key, _ in parts], pa.binary()),
+                 pa.array([count.astype(np.int32).tobytes() for _, count in parts], pa.binary())],
+                names=["node", "bands", "shingle", "weight"])
 
-    return mixed.mapInArrow(run, "node long, label long, fine array<long>")
+    return found.select("node", "bands", "text").mapInArrow(run, "node long, bands array<long>, shingle binary, weight binary")
 
 
-def _forests(near: np.ndarray, label: np.ndarray, count: int = FORESTS) -> list[tuple[int, int]]:
+def _forests(near: np.ndarray, label: np.ndarray, count: int = 1) -> list[tuple[int, int]]:
     """Pairs of different labels by falling agreement, each of which joins two trees of its forest; 0 in ``near`` is no pair."""
     first, second = np.nonzero(np.triu(near, 1))
     left, out = np.argsort(-near[first, second], kind="stable").tolist(), []
@@ -144,41 +137,92 @@ def _forests(near: np.ndarray, label: np.ndarray, count: int = FORESTS) -> list[
     return out
 
 
-def proposed_pairs(mixed: DataFrame) -> DataFrame:
-    """Distinct (a, b, label_a, label_b), a < b: the forests of all blocks."""
-    keys = written(_with_fine_keys(mixed).select("node", "label", F.explode("fine").alias("key")), "fine")
-    several = keys.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    count = F.ceil(F.col("size") / BLOCK).cast("long")
-    blocks = keys.select("key", "node").join(several.select("key", "size"), "key").select(
-        "key", F.pmod(F.xxhash64("node", "key"), count).alias("block"), "node").join(mixed, "node")
+def _first_shared(left: np.ndarray, right: np.ndarray, key: int) -> np.ndarray:
+    """Which rows of band keys share none before the band of ``key``, which all have."""
+    out = np.ones((len(left), len(right)), bool)
+    for k in range(np.flatnonzero(left[0] == key)[0]):
+        out &= left[:, k, None] != right[:, k]
+    return out
+
 
-    def run(block: pa.Table) -> pa.Table:
-        node, label = block.column("node").to_numpy(), block.column("label").to_numpy()
-        sketch = np.frombuffer(b"".join(block.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
-        near = np.stack([(sketch == row).sum(1) for row in sketch])
-        near[(near < LEAST_AGREEING) | (label[:, None] == label)] = 0
-        pairs = np.array(_forests(near, label), np.int64).reshape(-1, 2)
-        x, y = pairs[:, 0], pairs[:, 1]
-        x, y = np.where(node[x] < node[y], x, y), np.where(node[x] < node[y], y, x)
-        return pa.table({"a": node[x], "b": node[y], "label_a": label[x], "label_b": label[y]})
+def _likeness_bounds(left: list[tuple[np.ndarray, np.ndarray]], right: list[tuple[np.ndarray, np.ndarray]], wanted: np.ndarray) -> np.ndarray:
+    """No less than the probability Jaccard of the ``wanted`` pairs, and that itself where all counts are equal.
+
+    With u and v the shares of each text's weight that lie in common shingles it is 1 / (1 / u + 1 / v - 1): a common
+    shingle adds at most the harmonic term of its two weights, and the sum of such terms is at most the term of the sums.
+    """
+    key, weight = (np.concatenate([text[k] for text in right]) for k in (0, 1))
+    row = np.repeat(np.arange(len(right)), [len(text[0]) for text in right])
+    order = np.argsort(key, kind="stable")
+    key, weight, row = key[order], weight[order], row[order]
+    total = np.array([text[1].sum() for text in right], np.float64)
+    out = np.zeros(wanted.shape)
+    for i in np.flatnonzero(wanted.any(axis=1)).tolist():
+        own, count = left[i]
+        first, last = np.searchsorted(key, own), np.searchsorted(key, own, "right")
+        found = last - first
+        at = np.repeat(first - np.cumsum(found) + found, found) + np.arange(found.sum())
+        mine = np.bincount(row[at], np.repeat(count, found), len(right))
+        common = np.flatnonzero(wanted[i] & (mine > 0))
+        theirs = np.bincount(row[at], weight[at], len(right))
+        out[i, common] = 1 / (count.sum() / mine[common] + total[common] / theirs[common] - 1)
+    return out
 
-    return blocks.groupBy("key", "block").applyInArrow(run, "a long, b long, label_a long, label_b long").distinct()
+
+def _joining_links(texts: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, near: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join all labels between which ``near``, the bounds of pairs, allows one; each is computed exactly."""
+    label, near, out = label.copy(), near.copy(), []
+    while near.any():
+        for x, y in _forests(near, label, 1):
+            if probability_jaccard(*texts[x], *texts[y]) >= SIMILARITY - 1e-9:
+                out.append((x, y))
+                label[label == label[y]] = label[x]
+            near[x, y] = 0
+        near[label[:, None] == label] = 0
+    return out
+
+
+def joined_labels(mixed: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): labels that a link joins, of all pairs that share a bucket of ``mixed``."""
+    count = F.ceil(F.col("size") / BLOCK).cast("long")
+    own = mixed.select("key", "node", "label", count.alias("count"), F.pmod(F.xxhash64("node", "key"), count).alias("block"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1))
+    met = own.select("key", "node", "label", "block", other.alias("other")).select(
+        "key", "node", "label", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+
+    def run(group: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        key, low, high = (value.as_py() for value in group)
+        rows = rows.sort_by([("block", "ascending"), ("node", "ascending")])
+        node, label = rows.column("node").to_numpy(), rows.column("label").to_numpy()
+        bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        texts = [(np.frombuffer(key, np.uint64), np.frombuffer(weight, np.int32)) for key, weight in zip(
+            rows.column("shingle").to_pylist(), rows.column("weight").to_pylist(), strict=True)]
+        # Two blocks that meet are compared with each other alone.
+        cut = len(node) if low == high else int(np.count_nonzero(rows.column("block").to_numpy() == low))
+        left, right = slice(0, cut), slice(0, cut) if low == high else slice(cut, len(node))
+        near = np.zeros((len(node), len(node)))
+        if len(node[left]) and len(node[right]):
+            wanted = _first_shared(bands[left], bands[right], key) & (label[left][:, None] != label[right])
+            wanted = np.triu(wanted) if low == high else wanted
+            near[left, right] = _likeness_bounds(texts[left], texts[right], wanted)
+            near[near < SIMILARITY - 1e-6] = 0
+        pairs = np.array(_joining_links(texts, label, near), np.int64).reshape(-1, 2)
+        return pa.table({"a": label[pairs[:, 0]], "b": label[pairs[:, 1]]})
+
+    return met.join(texts, "node").groupBy("key", "low", "high").applyInArrow(run, "a long, b long").distinct()
 
 
 def refined(labels: DataFrame, nodes: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
-    """The components with those joined that a forest links."""
-    mixed = written(mixed_nodes(nodes, members, labels), "mixed")
+    """The components with those joined that any link within a larger bucket joins."""
+    mixed = written(mixed_members(members, labels), "mixed")
     if mixed.isEmpty():
         return labels
-    proposed = written(proposed_pairs(mixed), "proposed")
-    links = verified_links(proposed.select("a", "b"), nodes, docs).select("a", "b").join(proposed, ["a", "b"])
-    joins = written(links.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")), "joins")
+    joins = written(joined_labels(mixed, written(shingle_table(mixed, nodes, docs), "shingles")), "joins")
     if joins.isEmpty():
         return labels
     new = components(joins).select(F.col("node").alias("label"), F.col("label").alias("new"))
     # A text that no star linked is its own component.
-    alone = mixed.select("node", "label").join(labels.select("node"), "node", "left_anti")
+    alone = mixed.select("node", "label").distinct().join(labels.select("node"), "node", "left_anti")
     return labels.union(alone).join(new, "label", "left").select("node", F.coalesce("new", "label").alias("label"))
 
 

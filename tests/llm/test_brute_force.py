@@ -13,6 +13,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -372,6 +373,30 @@ def test_op6_family_beside_a_hot_bucket(spark):
     assert {r.doc_id: r.class_id for r in near_duplicates.classes(table).collect()} == classes_by_brute_force(rows)
 
 
+def test_op6_every_link_of_a_larger_bucket(spark, monkeypatch):
+    """Classes of one bucket that no star has looked at, dealt into several blocks, of texts with repeated passages."""
+    monkeypatch.setattr(near_duplicates, "BLOCK", 16)
+    rng = random.Random(11)
+    words, rows = [f"w{k}" for k in range(2000)], {}
+    for base in range(6):
+        text = rng.choices(words, k=90) * (1 + base % 2) + rng.choices(words, k=60)
+        for k in range(15):
+            copy = list(text)
+            for at in rng.sample(range(len(copy)), rng.randint(1, 5)):
+                copy[at] = f"e{base}x{k}x{at}"
+            rows[15 * base + k] = " ".join(copy)
+    table = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    nodes = near_duplicates.node_table(near_duplicates.signature_table(table)).withColumn("bands", F.array(F.lit(7).cast("long")))
+    members = nodes.select(F.lit(7).cast("long").alias("key"), "node", F.lit(len(rows)).cast("long").alias("size"))
+    labels = near_duplicates.refined(spark.createDataFrame([], "node long, label long"), nodes, members, table)
+    label = {r.doc_id: r.label for r in nodes.join(labels, "node").select("doc_id", "label").collect()}
+    first = {}
+    for i in sorted(label):
+        first.setdefault(label[i], i)
+    want = classes_by_brute_force(rows)
+    assert {i: first[label[i]] for i in label} == want and 6 < len(set(want.values())) < 80
+
+
 def test_forests_join_each_pair_of_trees_once():
     rng = np.random.default_rng(6)
     for _ in range(50):
