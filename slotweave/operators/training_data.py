@@ -79,7 +79,8 @@ def align_labels(word_ids: Column, word_labels: Column, max_length: int = MAX_LE
         repeats = word.eqNullSafe(F.get(word_ids, position - 1))
         return F.when(word.isNull() | repeats, ignored).otherwise(F.get(word_labels, word))
 
-    cut = F.slice(F.transform(word_ids, label), 1, max_length)
+    # Cut first: what lies beyond has no label, and a label looks no further than one place back.
+    cut = F.transform(F.slice(word_ids, 1, max_length), label)
     return F.concat(cut, F.array_repeat(ignored, max_length - F.size(cut)))
 
 
