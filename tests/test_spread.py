@@ -31,6 +31,12 @@ def test_documents_of_one_file(spark, folder, name):
     assert sum(sizes) == 400 and max(sizes) <= 100
 
 
+def test_sides_of_one_file(spark, folder):
+    training, validation = queries._sides(spark, folder)
+    assert training.count() + validation.count() == 400
+    assert len(training.inputFiles()) >= 8
+
+
 def test_stream_batches(spark, folder, monkeypatch):
     """A batch takes a file for each core, and blank rows lie in all files."""
     seen, run_stream = [], queries.run_stream
